@@ -11,7 +11,9 @@ from chartweave.plans.star import STAR, star_table
 
 from .oracle_details import DETAIL_SQL
 from .oracle_star import STAR_SQL
+from . import scan_queries  # noqa: F401  (fills the registry)
 from .records import RECORDS, Tables
+from .register import QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,8 +33,6 @@ def star_query(name: str) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    from .register import QUERIES
-
     return {
         **{name: query for name, (query, _) in QUERIES.items()},
         **{name: detail_query(name) for name in DETAILS},
@@ -41,6 +41,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_sql() -> dict[str, str]:
-    from .register import QUERIES
-
     return {**{name: sql for name, (_, sql) in QUERIES.items() if sql}, **DETAIL_SQL, **STAR_SQL}

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartweave.schemas import RESOURCE_FIELDS
@@ -26,16 +26,22 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
+def record_struct(fields: dict[str, str]) -> Column:
+    """The full record shape; fields not given are NULL."""
+    return F.struct(
+        *[
+            F.expr(fields[name] if name in fields else f"CAST(NULL AS {ddl})").alias(name)
+            for name, ddl in RESOURCE_FIELDS.items()
+        ]
+    )
+
+
 def record(rows: DataFrame, kind: str, batch: str, **fields: str) -> DataFrame:
-    """``(batch_id, resource_type, data)`` with the full record shape; fields not given are NULL."""
-    data = [
-        F.expr(fields[name] if name in fields else f"CAST(NULL AS {ddl})").alias(name)
-        for name, ddl in RESOURCE_FIELDS.items()
-    ]
+    """``(batch_id, resource_type, data)`` rows of one resource type."""
     return rows.select(
         F.expr(f"CAST({batch} % {BATCHES} AS INT)").alias("batch_id"),
         F.lit(kind).alias("resource_type"),
-        F.struct(*data).alias("data"),
+        record_struct(fields).alias("data"),
     )
 
 
@@ -131,15 +137,12 @@ def patients(t: Tables) -> DataFrame:
     )
 
 
-def encounters(t: Tables) -> DataFrame:
+def encounter_fields() -> dict[str, str]:
     first = text_concept(
         coding("substring(o_orderpriority, 1, 1)", "o_orderpriority"), "concat(o_orderpriority, ' b', o_orderkey % 3)"
     )
     second = text_concept(coding("'F'", "'follow-up'"), "'Follow-up visit'")
-    return record(
-        t.orders,
-        "Encounter",
-        "o_orderkey",
+    return dict(
         resourceType="'Encounter'",
         id="concat('enc-', o_orderkey)",
         status="o_orderstatus",
@@ -157,6 +160,10 @@ def encounters(t: Tables) -> DataFrame:
     )
 
 
+def encounters(t: Tables) -> DataFrame:
+    return record(t.orders, "Encounter", "o_orderkey", **encounter_fields())
+
+
 def conditions(t: Tables) -> DataFrame:
     display = (
         "CASE event_type WHEN 'error' THEN 'Concussion injury' WHEN 'click' THEN 'Hypertension' "
@@ -278,11 +285,8 @@ def immunizations(t: Tables) -> DataFrame:
     )
 
 
-def procedures(t: Tables) -> DataFrame:
-    return record(
-        t.orders,
-        "Procedure",
-        "o_orderkey",
+def procedure_fields() -> dict[str, str]:
+    return dict(
         resourceType="'Procedure'",
         id="concat('proc-', o_orderkey)",
         status="'completed'",
@@ -300,6 +304,10 @@ def procedures(t: Tables) -> DataFrame:
     )
 
 
+def procedures(t: Tables) -> DataFrame:
+    return record(t.orders, "Procedure", "o_orderkey", **procedure_fields())
+
+
 def careplans(t: Tables) -> DataFrame:
     activity = (
         "named_struct('detail', named_struct('status', IF((c_custkey + i) % 2 = 0, 'in-progress', 'completed'), 'code', "
@@ -387,6 +395,17 @@ def bronze(t: Tables, *kinds: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [RECORDS[kind](t) for kind in kinds or RECORDS])
 
 
+def bundles(t: Tables) -> DataFrame:
+    """Bundle text, one per order: its encounter and its procedure."""
+
+    def entry(fields: dict[str, str]) -> Column:
+        resource = record_struct(fields)
+        return F.struct(F.concat(F.lit("urn:uuid:"), resource["id"]).alias("fullUrl"), resource.alias("resource"))
+
+    entries = F.array(entry(encounter_fields()), entry(procedure_fields()))
+    return t.orders.select(F.to_json(F.struct(entries.alias("entry"))).alias("value"))
+
+
 def image_files(t: Tables) -> DataFrame:
     """``(path, content)``: one small image file per part; every tenth is not readable."""
 
