@@ -11,7 +11,7 @@ from chartweave.plans.star import STAR, star_table
 
 from .oracle_details import DETAIL_SQL
 from .oracle_star import STAR_SQL
-from . import scan_queries  # noqa: F401  (fills the registry)
+from . import join_queries, profile_queries, scalar_queries, scan_queries, shape_queries  # noqa: F401
 from .records import RECORDS, Tables
 from .register import QUERIES
 
