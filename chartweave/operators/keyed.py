@@ -18,28 +18,46 @@ def dedupe_full_row(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def one_per_key(df: DataFrame, *keys: str) -> DataFrame:
-    """One row per key: the one with the smallest remaining columns, so reruns agree.
+def _counted(df: DataFrame) -> DataFrame:
+    """Distinct rows with their number as ``_n``: a hash aggregate that shrinks repeats on the map side.
 
-    The leading ``distinct`` is a hash aggregate that shrinks repeated codes before the sorted ``min``.
+    A plain ``distinct`` below ``min`` or ``max`` is taken out by the optimizer as redundant, and then all
+    input rows are sorted by key. Callers keep ``_n`` in use, so the cheap reduction stays in the plan.
     """
+    return df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+
+
+def one_per_key(df: DataFrame, *keys: str) -> DataFrame:
+    """One row per key: the one with the smallest remaining columns, so reruns agree."""
     rest = [c for c in df.columns if c not in keys]
-    smallest = df.distinct().groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+    smallest = (
+        _counted(df)
+        .groupBy(*keys)
+        .agg(F.min(F.struct(*rest)).alias("_row"), F.sum("_n").alias("_n"))
+        .where(F.col("_n") > 0)
+    )
     return smallest.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list[str], keep_first: tuple[str, ...] = ()) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: list[str], order: list[str], keep_first: tuple[str, ...] = (), repeats: bool = False
+) -> DataFrame:
     """Last row per key by ``order`` (ties: largest remaining columns). NULLs overwrite like values.
 
     Columns in ``keep_first`` take the value of the first row instead. ``order`` columns are not returned.
+    ``repeats`` says that most rows are copies of others (code tables), so they are counted together first.
     Rows without a key have no place in a keyed table; see :func:`rows_without_key`.
     """
     payload = [c for c in df.columns if c not in (*keys, *order)]
+    rows = df.dropna(subset=list(keys))
     row = F.struct(*order, *payload)
     aggregates = [F.max(row).alias("_last")]
     if keep_first:
         aggregates.append(F.min(row).alias("_first"))
-    merged = df.dropna(subset=list(keys)).groupBy(*keys).agg(*aggregates)
+    if repeats:
+        merged = _counted(rows).groupBy(*keys).agg(*aggregates, F.sum("_n").alias("_n")).where(F.col("_n") > 0)
+    else:
+        merged = rows.groupBy(*keys).agg(*aggregates)
 
     def pick(name: str):
         if name in keys:

@@ -77,6 +77,11 @@ class StarTable:
     def columns(self) -> list[str]:
         return list(self.fields)
 
+    @property
+    def is_code_table(self) -> bool:
+        """Keyed by a code that the records repeat over and over."""
+        return self.key is not None and self.fields[self.key].source == "code"
+
     @property
     def ddl(self) -> str:
         return ", ".join(f"{c} {f.type.upper()}" for c, f in self.fields.items())
@@ -286,7 +291,8 @@ def current_rows(loaded: DataFrame, table: StarTable) -> DataFrame:
     """The table as readers see it: merged by key over all batches, or all appended rows."""
     if table.key is None:
         return loaded.select(*table.columns)
-    return latest_per_key(loaded.select(BATCH, *table.columns), [table.key], [BATCH], table.keep_first)
+    rows = loaded.select(BATCH, *table.columns)
+    return latest_per_key(rows, [table.key], [BATCH], table.keep_first, repeats=table.is_code_table)
 
 
 def star_table(details: DataFrame, table: StarTable) -> DataFrame:

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
 
 BATCH_FOLDERS = 8
+GLOB_CHARACTERS = r"[\[\]{}*?\\]"
 # monotonically_increasing_id keeps the partition number above this bit
 _PARTITION_BIT = 33
 
 
-def outer_folder(path, folder: str):
+def outer_folder(path: Column, folder: str) -> Column:
     """First path segment below ``folder``; NULL for files that do not lie two levels down."""
-    below = F.element_at(F.split(path, folder.rstrip("/") + "/", 2), 2)
-    segments = F.split(below, "/")
-    return F.when(F.size(segments) == 3, F.element_at(segments, 1))
+    root = folder.rstrip("/") + "/"
+    start = F.instr(path, root)
+    segments = F.split(F.substring(path, start + F.lit(len(root)), F.length(path)), "/")
+    return F.when((start > 0) & (F.size(segments) == 3), F.element_at(segments, 1))
 
 
 def _use_checkpoints(spark: SparkSession) -> None:
@@ -52,10 +55,20 @@ def sorted_position(values: DataFrame, name: str) -> DataFrame:
     return placed.join(offsets, "_part").select(name, (F.col("_offset") + F.col("_place")).alias("position"))
 
 
+def folder_batches(files: DataFrame, folder: str, folders_per_batch: int = BATCH_FOLDERS) -> DataFrame:
+    """``(batch_id, outer)``: each batch takes the next group of outer folders, the last may be smaller."""
+    outer = files.select(outer_folder(F.col("path"), folder).alias("outer"))
+    batch = F.floor(F.col("position") / folders_per_batch).cast("int")
+    return sorted_position(outer, "outer").select(batch.alias("batch_id"), "outer")
+
+
 def batch_files(files: DataFrame, folder: str, folders_per_batch: int = BATCH_FOLDERS) -> DataFrame:
-    """``(batch_id, path)``: each batch takes the next group of outer folders, the last may be smaller."""
-    placed = files.select("path", outer_folder(F.col("path"), folder).alias("outer")).where(F.col("outer").isNotNull())
-    batches = sorted_position(placed, "outer").select(
-        "outer", F.floor(F.col("position") / folders_per_batch).cast("int").alias("batch_id")
-    )
-    return placed.join(batches, "outer").select("batch_id", "path")
+    """``(batch_id, path)`` of all files."""
+    placed = files.select("path", outer_folder(F.col("path"), folder).alias("outer"))
+    return placed.join(folder_batches(files, folder, folders_per_batch), "outer").select("batch_id", "path")
+
+
+def batch_globs(batches: DataFrame, folder: str, batch_id: int) -> list[str]:
+    """Reader patterns of one batch. Only its folder names (at most ``folders_per_batch``) reach the driver."""
+    names = [row["outer"] for row in batches.where(F.col("batch_id") == batch_id).select("outer").collect()]
+    return [f"{folder.rstrip('/')}/{re.sub(GLOB_CHARACTERS, lambda m: chr(92) + m[0], name)}/*/*" for name in sorted(names)]

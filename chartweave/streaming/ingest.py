@@ -67,9 +67,12 @@ def upsert_stream(
 
     def each(batch: DataFrame, epoch: int) -> None:
         bronze = batch.withColumn("batch_id", F.lit(epoch).cast("int"))
+        if len(tables) > 1:
+            bronze.persist()  # parse the micro-batch once for all tables
         for name in tables:
             table = STAR[name]
             write_star(load_rows(build(table.source, bronze), table), lake, table, source, epoch)
+        bronze.unpersist()
         ledger.record("gold", epoch, source)
 
     return run_available(entries, checkpoint, each)

@@ -6,6 +6,7 @@ Queries that write use a new folder below the session's shared folder and read t
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from chartweave.functions import epoch_label
 from chartweave.operators.imaging import dicom_metadata, imaging_inventory
 from chartweave.plans.details import DETAILS, build
+from chartweave.plans.jobs import run_each
 from chartweave.plans.ledger import Ledger, last_batch, next_batch, of_source, oldest, pending_batches
 from chartweave.plans.star import STAR, load_rows, model_table
 from chartweave.session import shared_folder
@@ -147,17 +149,17 @@ def sink_jdbc(t: Tables) -> DataFrame:
 def sink_modeled_all(t: Tables) -> DataFrame:
     """Every star table written batch by batch and read back, with the number of rows readers see."""
     lake = Lake(scratch(t))
-    counts = []
-    for table in STAR.values():
+
+    def load(_: str, table) -> None:
         loaded = load_rows(build(table.source, RECORDS[DETAILS[table.source].resource](t)), table)
         loaded.write.partitionBy("batch_id").parquet(lake.star(table))
-        counts.append(
-            read_star(t.spark, lake, table).agg(F.count("*").alias("n_rows")).select(F.lit(table.name).alias("table_name"), "n_rows")
-        )
-    result = counts[0]
-    for part in counts[1:]:
-        result = result.unionByName(part)
-    return result
+
+    run_each(STAR, load)
+    counts = [
+        read_star(t.spark, lake, table).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        for name, table in STAR.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query("gold_ddl_cast", STAR_SQL["fact_dispense_request"])
@@ -314,12 +316,11 @@ def temp_views(t: Tables) -> DataFrame:
     )
 
 
-@query("ledger_create", "SELECT CAST(o_orderkey AS INTEGER) AS batch_id, 'local' AS source FROM orders WHERE false")
+@query("ledger_create", f"SELECT batch_id, min(save_ts) AS save_ts FROM {LEDGER_SQL} WHERE source = 'local' GROUP BY 1")
 def ledger_create(t: Tables) -> DataFrame:
-    """A new ledger is empty and has the fixed columns; batches of the tables find nothing in it."""
+    """Beside a new, empty ledger every batch is still to do."""
     ledger = Ledger(t.spark, scratch(t))
-    batches = t.orders.select(F.col("o_orderkey").cast("int").alias("batch_id"))
-    return batches.join(ledger.read("silver").select("batch_id", "source"), "batch_id")
+    return pending_batches(ledgers(t)["bronze"], ledger.read("silver"), "local")
 
 
 @query(
