@@ -37,7 +37,8 @@ def frame_profile(df: DataFrame) -> DataFrame:
 
 def prune_frame(df: DataFrame) -> DataFrame:
     """Without all-NULL rows and without repeated rows."""
-    return df.dropna(how="all").dropDuplicates()
+    filled = F.coalesce(*[F.when(F.col(f"`{c}`").isNotNull(), True) for c in df.columns])
+    return df.where(filled).dropDuplicates()
 
 
 def prune_all_frames(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -43,11 +43,13 @@ def _write(rows: DataFrame, folder: str) -> None:
 
 def save_detail_table(rows: DataFrame, name: str, batch_id: int, file_format: str = "orc") -> None:
     """Add one batch to a catalog table that is split by batch, replacing that batch if it is there."""
-    marked = rows.drop("batch_id").withColumn("batch_id", F.lit(batch_id))
-    if rows.sparkSession.catalog.tableExists(name):
-        marked.writeTo(name).overwritePartitions()
-    else:
+    spark = rows.sparkSession
+    if not spark.catalog.tableExists(name):
+        marked = rows.drop("batch_id").withColumn("batch_id", F.lit(batch_id))
         marked.write.format(file_format).partitionBy("batch_id").saveAsTable(name)
+        return
+    in_order = rows.select(*[c for c in spark.table(name).columns if c != "batch_id"])
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (batch_id = {int(batch_id)}) SELECT * FROM {{rows}}", rows=in_order)
 
 
 def save_image_table(metadata: DataFrame, name: str = "image_data") -> None:
