@@ -1,6 +1,6 @@
-"""Header fields of image files.
+"""Header fields and pixels of image files.
 
-Spark distributes the files; inside a task each header is walked once, straight from the Arrow buffer.
+Spark distributes the files; inside a task each file is walked once, straight from the Arrow buffer.
 """
 
 from __future__ import annotations
@@ -8,12 +8,13 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values: (group, element) numbers of the header fields, value types with a long length field and
-# the two uncompressed little-endian transfer syntaxes, from the public DICOM standard.
+# Fixed values: (group, element) numbers of the header and pixel fields, value types with a long length
+# field and the two uncompressed little-endian transfer syntaxes, from the public DICOM standard.
 TAGS = {
     (0x0010, 0x0020): "PatientID",
     (0x0008, 0x0020): "StudyDate",
@@ -21,6 +22,16 @@ TAGS = {
     (0x0008, 0x1030): "StudyDescription",
     (0x0008, 0x103E): "SeriesDescription",
 }
+PIXEL_TAGS = {
+    (0x0028, 0x0002): "samples",
+    (0x0028, 0x0006): "planar",
+    (0x0028, 0x0008): "frames",
+    (0x0028, 0x0010): "rows",
+    (0x0028, 0x0011): "columns",
+    (0x0028, 0x0100): "bits",
+    (0x0028, 0x0103): "signed",
+    (0x7FE0, 0x0010): "pixels",
+}
 LONG_FORMS = {b"OB", b"OD", b"OF", b"OL", b"OV", b"OW", b"SQ", b"SV", b"UC", b"UN", b"UR", b"UT", b"UV"}
 TRANSFER_SYNTAX = (0x0002, 0x0010)
 IMPLICIT_LITTLE = "1.2.840.10008.1.2"
@@ -60,11 +71,11 @@ def _skip_sequence(data: memoryview, at: int, explicit: bool) -> int:
     return at
 
 
-def read_header(data: memoryview) -> dict[str, str]:
-    """The wanted header fields of one file; raises :class:`HeaderError` for anything unreadable."""
+def read_elements(data: memoryview, wanted: dict[tuple[int, int], str], last: tuple[int, int]) -> dict[str, bytes]:
+    """Raw values of the wanted top-level fields, up to the tag ``last``."""
     if len(data) < 132 or bytes(data[128:132]) != b"DICM":
         raise HeaderError("not an image file: no DICM marker")
-    found: dict[str, str] = {}
+    found: dict[str, bytes] = {}
     at, syntax = 132, EXPLICIT_LITTLE
     try:
         while at + 8 <= len(data):
@@ -73,49 +84,101 @@ def read_header(data: memoryview) -> dict[str, str]:
                 raise HeaderError(f"transfer syntax {syntax} is not supported")
             explicit = in_meta or syntax == EXPLICIT_LITTLE
             tag, length, at = _element(data, at, explicit)
-            if tag > LAST_TAG:
+            if tag > last:
                 break
             if length == UNDEFINED:
                 at = _skip_sequence(data, at, explicit)
                 continue
             if at + length > len(data):
                 raise HeaderError("header ends inside an element")
-            if tag in TAGS or tag == TRANSFER_SYNTAX:
-                text = bytes(data[at : at + length]).decode("latin-1").strip(" \0")
-                if tag == TRANSFER_SYNTAX:
-                    syntax = text
-                else:
-                    found[TAGS[tag]] = text
+            if tag in wanted:
+                found[wanted[tag]] = bytes(data[at : at + length])
+            elif tag == TRANSFER_SYNTAX:
+                syntax = _text(data[at : at + length])
             at += length
     except struct.error as problem:
         raise HeaderError("header ends inside an element") from problem
     return found
 
 
-def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows, errors = [], []
-        for content in batch.column("content"):
-            try:
-                if not content.is_valid:
-                    raise HeaderError("no content")
-                header = read_header(memoryview(content.as_buffer()))
-                rows.append({name: header.get(name) for name in TAGS.values()})
-                errors.append(None)
-            except HeaderError as problem:
-                rows.append(None)
-                errors.append(str(problem))
-        kind = pa.struct([(name, pa.string()) for name in TAGS.values()])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("file_path"), pa.array(rows, kind), pa.array(errors, pa.string())],
-            names=["file_path", "metadata", "error"],
-        )
+def _text(value: bytes | memoryview) -> str:
+    return bytes(value).decode("latin-1").strip(" \0")
+
+
+def read_header(data: memoryview) -> dict[str, str]:
+    """The wanted header fields of one file; raises :class:`HeaderError` for anything unreadable."""
+    return {name: _text(value) for name, value in read_elements(data, TAGS, LAST_TAG).items()}
+
+
+def read_pixels(data: memoryview) -> np.ndarray | None:
+    """All pixel values of one uncompressed image, row by row; NULL for a file without pixels."""
+    found = read_elements(data, PIXEL_TAGS, max(PIXEL_TAGS))
+    if "pixels" not in found:
+        return None
+
+    def number(name: str, default: int) -> int:
+        return int.from_bytes(found[name][:2], "little") if name in found else default
+
+    bits, samples = number("bits", 16), number("samples", 1)
+    if bits not in (8, 16, 32):
+        raise HeaderError(f"{bits} bits per pixel are not supported")
+    frames = int(_text(found["frames"])) if "frames" in found else 1
+    area = number("rows", 0) * number("columns", 0)
+    kind = f"<{'i' if number('signed', 0) else 'u'}{bits // 8}"
+    if len(found["pixels"]) < area * samples * frames * bits // 8:
+        raise HeaderError("fewer pixels than the header says")
+    values = np.frombuffer(found["pixels"], kind, area * samples * frames)
+    if number("planar", 0) == 1:
+        values = values.reshape(frames, samples, area).transpose(0, 2, 1).ravel()
+    return values
+
+
+def _per_file(read, kind: pa.DataType, name: str):
+    """A task function that turns each file's content into one value, or into an error text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, errors = [], []
+            for content in batch.column("content"):
+                try:
+                    if not content.is_valid:
+                        raise HeaderError("no content")
+                    values.append(read(memoryview(content.as_buffer())))
+                    errors.append(None)
+                except HeaderError as problem:
+                    values.append(None)
+                    errors.append(str(problem))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("file_path"), pa.array(values, kind), pa.array(errors, pa.string())],
+                names=["file_path", name, "error"],
+            )
+
+    return run
+
+
+def _header_row(data: memoryview) -> dict[str, str | None]:
+    header = read_header(data)
+    return {name: header.get(name) for name in TAGS.values()}
+
+
+def _pixel_texts(data: memoryview) -> list[str] | None:
+    values = read_pixels(data)
+    return None if values is None else values.astype(str).tolist()
 
 
 def dicom_metadata(files: DataFrame) -> DataFrame:
     """``(path, content)`` rows to ``(file_path, metadata, error)``; a missing field is NULL."""
+    kind = pa.struct([(name, pa.string()) for name in TAGS.values()])
+    return files.select(F.col("path").alias("file_path"), "content").mapInArrow(
+        _per_file(_header_row, kind, "metadata"), f"file_path STRING, metadata {METADATA_DDL}, error STRING"
+    )
+
+
+def dicom_pixels(files: DataFrame) -> DataFrame:
+    """``(path, content)`` rows to ``(file_path, image_data, error)`` with the pixel values as text."""
     return files.select(F.col("path").alias("file_path"), "content").mapInArrow(
-        _headers, f"file_path STRING, metadata {METADATA_DDL}, error STRING"
+        _per_file(_pixel_texts, pa.list_(pa.string()), "image_data"),
+        "file_path STRING, image_data ARRAY<STRING>, error STRING",
     )
 
 

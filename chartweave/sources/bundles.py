@@ -33,8 +33,13 @@ def parse_bundles(texts: DataFrame, name: str = "value") -> DataFrame:
 
 
 def bundle_entries(bundles: DataFrame) -> DataFrame:
-    """One row per entry as ``(resource_type, data)``; entries without a resource type are left out."""
-    entries = bundles.select(F.explode("entry").alias("entry")).select(
+    """One row per entry as ``(resource_type, data)``; entries without a resource type are left out.
+
+    The outer form is used because for the inner one the optimizer adds a filter on the array's size, and
+    pushes it below the parsing of bundle text, which is then parsed again for the filter. Bundles without
+    entries leave with the missing resource type.
+    """
+    entries = bundles.select(F.explode_outer("entry").alias("entry")).select(
         F.col("entry.resource.resourceType").alias("resource_type"), F.col("entry.resource").alias("data")
     )
     return entries.dropna(subset=["resource_type"])

@@ -4,7 +4,7 @@ import struct
 
 import pytest
 
-from chartweave.operators.imaging import HeaderError, dicom_metadata, read_header
+from chartweave.operators.imaging import HeaderError, dicom_metadata, dicom_pixels, read_header, read_pixels
 from chartweave.sources.images import read_images
 
 
@@ -70,3 +70,34 @@ def test_files(spark, tmp_path):
 def test_missing_content(spark):
     df = spark.createDataFrame([("p", None)], "path STRING, content BINARY")
     assert dicom_metadata(df).first()["error"] == "no content"
+
+
+def us(number, value):
+    return element(0x28, number, b"US", struct.pack("<H", value))
+
+
+def pixels(values, kind, **tags):
+    head = b"\0" * 128 + b"DICM"
+    numbers = {"samples": 2, "planar": 6, "rows": 0x10, "columns": 0x11, "bits": 0x100, "signed": 0x103}
+    body = b"".join(us(numbers[name], value) for name, value in sorted(tags.items(), key=lambda x: numbers[x[0]]))
+    return head + body + element(0x7FE0, 0x10, b"OW", struct.pack(f"<{len(values)}{kind}", *values))
+
+
+def test_pixels():
+    assert read_pixels(memoryview(pixels([1, 255, 0, 7], "B", rows=2, columns=2, bits=8))).tolist() == [1, 255, 0, 7]
+    assert read_pixels(memoryview(pixels([-5, 300], "h", rows=1, columns=2, bits=16, signed=1))).tolist() == [-5, 300]
+    planes = pixels([1, 2, 3, 4, 5, 6], "B", rows=1, columns=2, bits=8, samples=3, planar=1)
+    assert read_pixels(memoryview(planes)).tolist() == [1, 3, 5, 2, 4, 6]
+    assert read_pixels(memoryview(b"\0" * 128 + b"DICM")) is None
+    with pytest.raises(HeaderError, match="fewer pixels"):
+        read_pixels(memoryview(pixels([1], "H", rows=4, columns=4, bits=16)))
+    with pytest.raises(HeaderError, match="12 bits"):
+        read_pixels(memoryview(pixels([1], "H", rows=1, columns=1, bits=12)))
+
+
+def test_pixel_rows(spark):
+    good = pixels([9, 8], "B", rows=1, columns=2, bits=8)
+    df = spark.createDataFrame([("a", good), ("b", b"x")], "path STRING, content BINARY")
+    got = {r["file_path"]: (r["image_data"], r["error"]) for r in dicom_pixels(df).collect()}
+    assert got["a"] == (["9", "8"], None)
+    assert got["b"][0] is None and "DICM" in got["b"][1]

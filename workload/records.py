@@ -16,6 +16,20 @@ from chartweave.schemas import RESOURCE_FIELDS
 BATCHES = 3
 
 
+MB = 1024 * 1024
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Share out a small table that lies in one block, so that all cores build records.
+
+    Only sizes at which the shuffle costs nothing qualify: from 1 MB up to 8 MB per core. Larger tables
+    are read in many splits anyway and stay as they are, tiny ones are not worth it.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(cores) if MB <= size < 8 * MB * cores else rows
+
+
 class Tables:
     """The given tables by attribute; each access is a lazy scan."""
 
@@ -23,17 +37,13 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
 
 def record_struct(fields: dict[str, str]) -> Column:
     """The full record shape; fields not given are NULL."""
-    return F.struct(
-        *[
-            F.expr(fields[name] if name in fields else f"CAST(NULL AS {ddl})").alias(name)
-            for name, ddl in RESOURCE_FIELDS.items()
-        ]
-    )
+    values = [f"'{name}', {fields.get(name) or f'CAST(NULL AS {ddl})'}" for name, ddl in RESOURCE_FIELDS.items()]
+    return F.expr(f"named_struct({', '.join(values)})")
 
 
 def record(rows: DataFrame, kind: str, batch: str, **fields: str) -> DataFrame:
@@ -416,6 +426,9 @@ def image_files(t: Tables) -> DataFrame:
             f"unhex('00'), CAST({padded} AS BINARY))"
         )
 
+    def number(tag: str, value: str) -> str:
+        return f"concat(unhex('{tag}'), CAST('US' AS BINARY), unhex('0200'), unhex(lpad(hex({value}), 2, '0')), unhex('00'))"
+
     syntax = "'1.2.840.10008.1.2.1'"
     day = "date_format(date_add(DATE'2020-01-01', CAST(p_partkey % 30 AS INT)), 'yyyyMMdd')"
     empty = "unhex('')"
@@ -428,7 +441,11 @@ def image_files(t: Tables) -> DataFrame:
         element("08003010", "LO", "p_type"),
         f"IF(p_partkey % 4 = 0, {empty}, {element('08003E10', 'LO', 'p_brand')})",
         element("10002000", "LO", "concat('pat-', p_partkey)"),
-        "unhex('E07F10004F57000004000000'), unhex('00010203')",
+        number("28001000", "2"),
+        number("28001100", "2"),
+        number("28000001", "8"),
+        number("28000301", "0"),
+        "unhex('E07F10004F57000004000000'), unhex(lpad(hex(p_partkey % 256), 2, '0')), unhex('0001FF')",
     ]
     content = f"concat({', '.join(parts)})"
     return t.part.selectExpr(
