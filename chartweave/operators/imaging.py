@@ -133,52 +133,58 @@ def read_pixels(data: memoryview) -> np.ndarray | None:
     return values
 
 
-def _per_file(read, kind: pa.DataType, name: str):
-    """A task function that turns each file's content into one value, or into an error text."""
+HEADER_KIND = pa.struct([(name, pa.string()) for name in TAGS.values()])
+PIXEL_KIND = pa.list_(pa.string())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values, errors = [], []
-            for content in batch.column("content"):
-                try:
-                    if not content.is_valid:
-                        raise HeaderError("no content")
-                    values.append(read(memoryview(content.as_buffer())))
-                    errors.append(None)
-                except HeaderError as problem:
-                    values.append(None)
-                    errors.append(str(problem))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("file_path"), pa.array(values, kind), pa.array(errors, pa.string())],
-                names=["file_path", name, "error"],
-            )
 
-    return run
+def _attempt(read, content: pa.BinaryScalar) -> tuple:
+    """The value read from one file's content, or NULL and the reason."""
+    try:
+        if not content.is_valid:
+            raise HeaderError("no content")
+        return read(memoryview(content.as_buffer())), None
+    except HeaderError as problem:
+        return None, str(problem)
+
+
+def _batch(paths: pa.Array, name: str, values: pa.Array, errors: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([paths, values, pa.array(errors, pa.string())], names=["file_path", name, "error"])
+
+
+def _header_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        results = [_attempt(read_header, content) for content in batch.column("content")]
+        values = [None if header is None else {n: header.get(n) for n in TAGS.values()} for header, _ in results]
+        yield _batch(batch.column("file_path"), "metadata", pa.array(values, HEADER_KIND), [e for _, e in results])
 
 
-def _header_row(data: memoryview) -> dict[str, str | None]:
-    header = read_header(data)
-    return {name: header.get(name) for name in TAGS.values()}
+def _pixel_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One output batch per image, made in Arrow, so a task holds the text of one image at a time."""
+    for batch in batches:
+        for i, content in enumerate(batch.column("content")):
+            pixels, error = _attempt(read_pixels, content)
+            if pixels is None:
+                values = pa.array([None], PIXEL_KIND)
+            else:
+                values = pa.ListArray.from_arrays(pa.array([0, len(pixels)], pa.int32()), pa.array(pixels).cast(pa.string()))
+            yield _batch(batch.column("file_path").slice(i, 1), "image_data", values, [error])
 
 
-def _pixel_texts(data: memoryview) -> list[str] | None:
-    values = read_pixels(data)
-    return None if values is None else values.astype(str).tolist()
+def _file_content(files: DataFrame) -> DataFrame:
+    return files.select(F.col("path").alias("file_path"), "content")
 
 
 def dicom_metadata(files: DataFrame) -> DataFrame:
     """``(path, content)`` rows to ``(file_path, metadata, error)``; a missing field is NULL."""
-    kind = pa.struct([(name, pa.string()) for name in TAGS.values()])
-    return files.select(F.col("path").alias("file_path"), "content").mapInArrow(
-        _per_file(_header_row, kind, "metadata"), f"file_path STRING, metadata {METADATA_DDL}, error STRING"
+    return _file_content(files).mapInArrow(
+        _header_batches, f"file_path STRING, metadata {METADATA_DDL}, error STRING"
     )
 
 
 def dicom_pixels(files: DataFrame) -> DataFrame:
     """``(path, content)`` rows to ``(file_path, image_data, error)`` with the pixel values as text."""
-    return files.select(F.col("path").alias("file_path"), "content").mapInArrow(
-        _per_file(_pixel_texts, pa.list_(pa.string()), "image_data"),
-        "file_path STRING, image_data ARRAY<STRING>, error STRING",
+    return _file_content(files).mapInArrow(
+        _pixel_batches, "file_path STRING, image_data ARRAY<STRING>, error STRING"
     )
 
 

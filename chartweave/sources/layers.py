@@ -39,10 +39,15 @@ def read_bronze(spark: SparkSession, lake: Lake, source: str, batch_id: int | No
     return rows if batch_id is None else rows.where(rows.batch_id == batch_id)
 
 
+def read_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """All batches of a table with ``source`` and ``batch_id`` from the folder names."""
+    return spark.read.option("basePath", folder).parquet(folder)
+
+
 def read_detail(
     spark: SparkSession, lake: Lake, name: str, source: str | None = None, batch_id: int | None = None
 ) -> DataFrame:
-    rows = spark.read.parquet(lake.detail(name))
+    rows = read_batches(spark, lake.detail(name))
     if source is not None:
         rows = rows.where(rows.source == source)
     if batch_id is not None:
@@ -53,4 +58,4 @@ def read_detail(
 def read_star(spark: SparkSession, lake: Lake, table: StarTable | str) -> DataFrame:
     """The current rows of a star table over all loaded batches."""
     table = STAR[table] if isinstance(table, str) else table
-    return current_rows(spark.read.parquet(lake.star(table)), table)
+    return current_rows(read_batches(spark, lake.star(table)), table)

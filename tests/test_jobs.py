@@ -6,10 +6,11 @@ import json
 
 import pytest
 
-from chartweave.plans.jobs import ingest, merged_with, model, transform
+from chartweave.__main__ import main
+from chartweave.plans.jobs import batch_rows, ingest, merged_with, model, transform
 from chartweave.plans.ledger import Ledger
-from chartweave.plans.star import STAR, create_star_tables
-from chartweave.sinks.layers import save_detail_table, save_image_table
+from chartweave.plans.star import STAR, create_star_tables, load_rows
+from chartweave.sinks.layers import save_detail_table, save_image_table, write_star
 from chartweave.sources.bundles import bundle_entries, list_files, read_bundles, read_json_inferred, schema_rows
 from chartweave.sources.file_batches import batch_files, sorted_position
 from chartweave.sources.layers import Lake, read_bronze, read_detail, read_star
@@ -123,20 +124,23 @@ def test_all_layers(spark, tmp_path):
     assert rows(merged_with(spark, lake, "dim_encounter_type", updates)) == [("chk", "new name")]
 
 
-def test_rerun_of_a_batch_changes_nothing(spark, tmp_path):
+def test_command_line_and_reruns(spark, tmp_path):
     root = tmp_path / "input" / "00" / "000"
     root.mkdir(parents=True)
     (root / "b.json").write_text(json.dumps(bundle(1, "n")))
     lake = Lake(str(tmp_path / "lake"))
-    for job in (lambda: ingest(spark, lake, str(tmp_path / "input")), lambda: transform(spark, lake), lambda: model(spark, lake)):
-        assert job() == 0
-    before = rows(read_star(spark, lake, "fact_careplan"))
-    from chartweave.plans.star import load_rows
-    from chartweave.sinks.layers import write_star
+    assert main(["ingest", "--lake", lake.root, "--input", str(tmp_path / "input")]) == 0
+    assert main(["transform", "--lake", lake.root]) == 0
+    assert main(["model", "--lake", lake.root]) == 0
+    assert main(["model", "--lake", lake.root]) is None
+    with pytest.raises(SystemExit):
+        main(["ingest", "--lake", lake.root, "--source", "kafka"])
 
     table = STAR["fact_careplan"]
+    before = rows(read_star(spark, lake, table))
     write_star(load_rows(read_detail(spark, lake, "careplan", "local", 0), table), lake, table, "local", 0)
-    assert rows(read_star(spark, lake, "fact_careplan")) == before
+    assert rows(read_star(spark, lake, table)) == before
+    assert rows(batch_rows(spark, lake, table.name, "local", 0)) == before
 
 
 def test_star_tables_can_be_defined(spark, tmp_path):
