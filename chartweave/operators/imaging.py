@@ -147,27 +147,27 @@ def _attempt(read, content: pa.BinaryScalar) -> tuple:
         return None, str(problem)
 
 
-def _batch(paths: pa.Array, name: str, values: pa.Array, errors: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([paths, values, pa.array(errors, pa.string())], names=["file_path", name, "error"])
-
-
 def _header_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         results = [_attempt(read_header, content) for content in batch.column("content")]
         values = [None if header is None else {n: header.get(n) for n in TAGS.values()} for header, _ in results]
-        yield _batch(batch.column("file_path"), "metadata", pa.array(values, HEADER_KIND), [e for _, e in results])
+        columns = [batch.column("file_path"), pa.array(values, HEADER_KIND), pa.array([e for _, e in results], pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=["file_path", "metadata", "error"])
 
 
-def _pixel_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _image_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One output batch per image, made in Arrow, so a task holds the text of one image at a time."""
     for batch in batches:
         for i, content in enumerate(batch.column("content")):
-            pixels, error = _attempt(read_pixels, content)
+            header, error = _attempt(read_header, content)
+            pixels, problem = _attempt(read_pixels, content) if error is None else (None, error)
             if pixels is None:
-                values = pa.array([None], PIXEL_KIND)
+                texts = pa.array([None], PIXEL_KIND)
             else:
-                values = pa.ListArray.from_arrays(pa.array([0, len(pixels)], pa.int32()), pa.array(pixels).cast(pa.string()))
-            yield _batch(batch.column("file_path").slice(i, 1), "image_data", values, [error])
+                texts = pa.ListArray.from_arrays(pa.array([0, len(pixels)], pa.int32()), pa.array(pixels).cast(pa.string()))
+            row = None if header is None else {n: header.get(n) for n in TAGS.values()}
+            columns = [batch.column("file_path").slice(i, 1), pa.array([row], HEADER_KIND), texts, pa.array([problem], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["file_path", "metadata", "image_data", "error"])
 
 
 def _file_content(files: DataFrame) -> DataFrame:
@@ -181,10 +181,14 @@ def dicom_metadata(files: DataFrame) -> DataFrame:
     )
 
 
-def dicom_pixels(files: DataFrame) -> DataFrame:
-    """``(path, content)`` rows to ``(file_path, image_data, error)`` with the pixel values as text."""
+def dicom_images(files: DataFrame) -> DataFrame:
+    """Like :func:`dicom_metadata`, with the pixel values as text in ``image_data``; each file is read once.
+
+    ``error`` may say why there are no pixels while the header is there.
+    """
     return _file_content(files).mapInArrow(
-        _pixel_batches, "file_path STRING, image_data ARRAY<STRING>, error STRING"
+        _image_batches,
+        f"file_path STRING, metadata {METADATA_DDL}, image_data ARRAY<STRING>, error STRING",
     )
 
 

@@ -4,7 +4,7 @@ import struct
 
 import pytest
 
-from chartweave.operators.imaging import HeaderError, dicom_metadata, dicom_pixels, read_header, read_pixels
+from chartweave.operators.imaging import HeaderError, dicom_images, dicom_metadata, read_header, read_pixels
 from chartweave.sources.images import read_images
 
 
@@ -95,9 +95,11 @@ def test_pixels():
         read_pixels(memoryview(pixels([1], "H", rows=1, columns=1, bits=12)))
 
 
-def test_pixel_rows(spark):
+def test_image_rows(spark):
     good = pixels([9, 8], "B", rows=1, columns=2, bits=8)
-    df = spark.createDataFrame([("a", good), ("b", b"x")], "path STRING, content BINARY")
-    got = {r["file_path"]: (r["image_data"], r["error"]) for r in dicom_pixels(df).collect()}
-    assert got["a"] == (["9", "8"], None)
-    assert got["b"][0] is None and "DICM" in got["b"][1]
+    short = pixels([9, 8], "B", rows=5, columns=2, bits=8)
+    df = spark.createDataFrame([("a", good), ("b", b"x"), ("c", short)], "path STRING, content BINARY")
+    got = {r["file_path"]: r for r in dicom_images(df).collect()}
+    assert got["a"]["image_data"] == ["9", "8"] and got["a"]["error"] is None
+    assert got["b"]["image_data"] is None and got["b"]["metadata"] is None and "DICM" in got["b"]["error"]
+    assert got["c"]["image_data"] is None and got["c"]["metadata"] is not None and "fewer" in got["c"]["error"]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartweave.functions import epoch_label
-from chartweave.operators.imaging import dicom_metadata, dicom_pixels, imaging_inventory
+from chartweave.operators.imaging import dicom_images, dicom_metadata, imaging_inventory
 from chartweave.plans.details import DETAILS, build
 from chartweave.plans.jobs import run_each
 from chartweave.plans.ledger import Ledger, last_batch, next_batch, of_source, oldest, pending_batches
@@ -204,13 +204,17 @@ def dicom_headers(t: Tables) -> DataFrame:
 @query(
     "dicom_pixels",
     """SELECT 'images/' || (p_partkey % 50) || '/' || p_partkey || '.dcm' AS file_path,
+         CASE WHEN p_partkey % 10 <> 9 THEN 'pat-' || p_partkey END AS patient_id,
          CASE WHEN p_partkey % 10 <> 9 THEN (p_partkey % 256) || ',0,1,255' END AS pixels, p_partkey % 10 = 9 AS failed
        FROM part""",
 )
 def image_pixels(t: Tables) -> DataFrame:
-    rows = dicom_pixels(image_files(t))
+    rows = dicom_images(image_files(t))
     return rows.select(
-        "file_path", F.array_join("image_data", ",").alias("pixels"), F.col("error").isNotNull().alias("failed")
+        "file_path",
+        F.col("metadata.PatientID").alias("patient_id"),
+        F.array_join("image_data", ",").alias("pixels"),
+        F.col("error").isNotNull().alias("failed"),
     )
 
 
