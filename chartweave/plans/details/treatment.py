@@ -160,5 +160,6 @@ def careplan_activity(rows: DataFrame) -> DataFrame:
 def careplan_category(rows: DataFrame) -> DataFrame:
     """First coding of each category, repeated for each activity and address of the plan."""
     categories = per_element(_steps(rows, groups="data.category"), "group", "groups")
-    coding = _category_coding("group")
-    return shape(categories, code=coding["code"], display=coding["display"])
+    # a one-element array keeps the parsed coding together; two separate fields would be parsed twice
+    coded = per_element(categories, "coding", F.array(_category_coding("group")))
+    return shape(coded, code="coding.code", display="coding.display")
