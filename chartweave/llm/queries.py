@@ -9,6 +9,7 @@ import public_tokenizers
 
 from .common import table
 from .decontaminate import match_items
+from .mixing_query import OP8_SQL, op8_mix_sources
 from .secrets import find_secrets
 from .token_counts import count_tokens
 from .toxicity import held_out, learn_lexicon, score_toxicity
@@ -45,6 +46,6 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    q.__name__: q for q in (op2_secret_scan, op6_decontaminate, op9_toxicity, op10_token_counts)
+    q.__name__: q for q in (op2_secret_scan, op6_decontaminate, op8_mix_sources, op9_toxicity, op10_token_counts)
 }
-SQL: dict[str, str] = {}
+SQL = {"op8_mix_sources": OP8_SQL}
