@@ -27,7 +27,7 @@ def saved(frame: DataFrame) -> DataFrame:
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(frame.schema).parquet(path)

@@ -11,13 +11,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, id_type, saved, slices
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 LONG_TEXT = 1 << 20
 # Fixed value: the published split pattern of byte-level BPE vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -136,12 +137,23 @@ BLOCK_COLUMNS = ["block", "pieces", "ids", "sizes", "special", "ends", "keys", "
 
 
 def _piece_counts(path: str):
+    """(block, place, number of tokens) of rows in the order of their pieces; a piece is tokenized once."""
+
     def run(batches):
         tokenizer = _tokenizer(path)
+        last, known = None, 0
         for batch in batches:
-            pieces = batch.column("piece").to_pylist()
-            counts = [len(e.ids) for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(counts, pa.int32())], names=["piece", "n"])
+            runs = pc.run_end_encode(batch.column("piece"))
+            pieces, ends = runs.values.to_pylist(), runs.run_ends.to_numpy()
+            fresh = pieces[1:] if pieces and pieces[0] == last else pieces
+            counts = [len(e.ids) for e in tokenizer.encode_batch(fresh, add_special_tokens=False)]
+            counts = [known] * (len(pieces) - len(fresh)) + counts
+            if pieces:
+                last, known = pieces[-1], counts[-1]
+            rows = np.repeat(np.array(counts, np.int32), np.diff(ends, prepend=0))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("place"), pa.array(rows)], names=["block", "place", "n"]
+            )
 
     return run
 
@@ -173,9 +185,10 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     default. A null or empty text has no tokens, repeated rows are counted each, a null id stays null, an
     empty table gives an empty result, and other columns are not read.
 
-    Documents travel as blocks of about 16 MB of text: a list of the block's distinct pre-tokens and, per
+    Documents travel as blocks of about 32 MB of text: a list of the block's distinct pre-tokens and, per
     document, places in that list with frequencies. Only (block, pre-token) rows are shuffled, so neither a
-    frequent pre-token nor a hot source gathers more than one row per block.
+    frequent pre-token nor a hot source gathers more than one row per block; rows of one pre-token meet in one
+    task in sorted order, where it is tokenized once.
     """
     kind = id_type(docs, id_col)
     texts = id_and_text(docs, id_col, text_col)
@@ -190,9 +203,10 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         )
     )
     listed = blocks.select("block", F.posexplode("pieces").alias("place", "piece"))
-    counts = listed.select("piece").distinct().mapInArrow(_piece_counts(path), "piece string, n int")
     found = (
-        listed.join(counts, "piece")
+        listed.repartition("piece")
+        .sortWithinPartitions("piece")
+        .mapInArrow(_piece_counts(path), "block long, place int, n int")
         .groupBy("block")
         .agg(F.collect_list(F.struct("place", "n")).alias("pieces_n"))
     )
