@@ -9,6 +9,7 @@ import public_tokenizers
 
 from .common import table
 from .decontaminate import match_items
+from .minhash import near_duplicates
 from .mixing_query import OP8_SQL, op8_mix_sources
 from .secrets import find_secrets
 from .token_counts import count_tokens
@@ -25,6 +26,10 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), shingle=3, similarity=(85, 100))
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = match_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -46,6 +51,6 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    q.__name__: q for q in (op2_secret_scan, op6_decontaminate, op8_mix_sources, op9_toxicity, op10_token_counts)
+    q.__name__: q for q in (op2_secret_scan, op3_minhash, op6_decontaminate, op8_mix_sources, op9_toxicity, op10_token_counts)
 }
 SQL = {"op8_mix_sources": OP8_SQL}

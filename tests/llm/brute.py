@@ -46,3 +46,34 @@ def contamination(docs, items, window=13):
         n = sum(hit)
         out.append((doc_id, len(words), n, len(names), sha(",".join(sorted(names))), n > 0 and 20 * n >= len(words)))
     return out
+
+
+def shingles(text: str | None, size: int = 3) -> set[tuple]:
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def near_components(docs, size=3, num=85, den=100):
+    sets = [shingles(t, size) for _, t in docs]
+    group = list(range(len(docs)))
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if docs[i][0] is not None and docs[j][0] is not None and a and b and den * len(a & b) >= num * len(a | b):
+                group[find(i)] = find(j)
+    least: dict[int, int] = {}
+    for i, (doc_id, _) in enumerate(docs):
+        if doc_id is not None:
+            least[find(i)] = min(least.get(find(i), doc_id), doc_id)
+    out = []
+    for i, (doc_id, _) in enumerate(docs):
+        comp = least.get(find(i))
+        out.append((doc_id, len(sets[i]), comp, doc_id is None or doc_id == comp))
+    return out
