@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
+from .ann_forest import nearest
 from .common import table
 from .decontaminate import match_items
 from .minhash import near_duplicates
@@ -30,6 +31,10 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle=3, similarity=(85, 100))
 
 
+def op4_hash_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = match_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -51,6 +56,6 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    q.__name__: q for q in (op2_secret_scan, op3_minhash, op6_decontaminate, op8_mix_sources, op9_toxicity, op10_token_counts)
+    q.__name__: q for q in (op2_secret_scan, op3_minhash, op4_hash_forest, op6_decontaminate, op8_mix_sources, op9_toxicity, op10_token_counts)
 }
 SQL = {"op8_mix_sources": OP8_SQL}

@@ -20,6 +20,7 @@ from .common import id_and_text, id_type, saved, slices
 
 BLOCK_BYTES = 32 << 20
 LONG_TEXT = 1 << 20
+PACK_ROWS = 4_000_000
 # Fixed value: the published split pattern of byte-level BPE vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -119,8 +120,10 @@ def _blocks(path: str, id_arrow):
                     places, ids, sizes, special, ends, keys, times = {}, [], [], [], [], [], []
                     held = total = 0
                 pieces, marks = split(text)
-                keys.append(np.fromiter((places.setdefault(p, len(places)) for p in pieces), np.int32, len(pieces)))
-                times.append(np.fromiter(pieces.values(), np.int32, len(pieces)))
+                own = np.fromiter((places.setdefault(p, len(places)) for p in pieces), np.int32, len(pieces))
+                order = np.argsort(own)
+                keys.append(np.diff(own[order], prepend=np.int32(0)))  # steps from the document's last place
+                times.append(np.fromiter(pieces.values(), np.int32, len(pieces))[order])
                 held += size
                 total += len(pieces)
                 ids.append(doc_id)
@@ -137,23 +140,43 @@ BLOCK_COLUMNS = ["block", "pieces", "ids", "sizes", "special", "ends", "keys", "
 
 
 def _piece_counts(path: str):
-    """(block, place, number of tokens) of rows in the order of their pieces; a piece is tokenized once."""
+    """Token counts by (block, place), packed per block, of rows in the order of their pieces.
+
+    A piece is tokenized once per run of equal pieces.
+    """
+
+    def packed(blocks, places, counts):
+        blocks, places, counts = map(np.concatenate, (blocks, places, counts))
+        order = np.lexsort((places, blocks))
+        blocks, places, counts = blocks[order], places[order], counts[order]
+        starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
+        bounds = list(zip(starts, [*starts[1:], len(blocks)]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(blocks[starts]), *(pa.array([x[a:b].tobytes() for a, b in bounds]) for x in (places, counts))],
+            names=["block", "places", "counts"],
+        )
 
     def run(batches):
         tokenizer = _tokenizer(path)
-        last, known = None, 0
+        last, known, held, rows = None, 0, 0, ([], [], [])
         for batch in batches:
+            if not batch.num_rows:
+                continue
             runs = pc.run_end_encode(batch.column("piece"))
             pieces, ends = runs.values.to_pylist(), runs.run_ends.to_numpy()
-            fresh = pieces[1:] if pieces and pieces[0] == last else pieces
+            fresh = pieces[1:] if pieces[0] == last else pieces
             counts = [len(e.ids) for e in tokenizer.encode_batch(fresh, add_special_tokens=False)]
             counts = [known] * (len(pieces) - len(fresh)) + counts
-            if pieces:
-                last, known = pieces[-1], counts[-1]
-            rows = np.repeat(np.array(counts, np.int32), np.diff(ends, prepend=0))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("place"), pa.array(rows)], names=["block", "place", "n"]
-            )
+            last, known = pieces[-1], counts[-1]
+            rows[0].append(batch.column("block").to_numpy())
+            rows[1].append(batch.column("place").to_numpy())
+            rows[2].append(np.repeat(np.array(counts, np.int32), np.diff(ends, prepend=0)))
+            held += batch.num_rows
+            if held > PACK_ROWS:
+                yield packed(*rows)
+                held, rows = 0, ([], [], [])
+        if held:
+            yield packed(*rows)
 
     return run
 
@@ -164,12 +187,14 @@ def _sums(batches):
         for i in range(batch.num_rows):
             ids = rows["ids"][i].values
             ends = rows["ends"][i].values.to_numpy()
-            keys = np.frombuffer(rows["keys"][i].as_py(), np.int32)
+            steps = np.cumsum(np.frombuffer(rows["keys"][i].as_py(), np.int32), dtype=np.int64)
+            starts = np.concatenate([[0], ends[:-1]])
+            keys = steps - np.repeat(np.where(starts > 0, steps[starts - 1] if len(steps) else 0, 0), ends - starts)
             times = np.frombuffer(rows["times"][i].as_py(), np.int32)
-            counts = np.zeros(len(rows["pieces_n"][i].values) if rows["pieces_n"][i].is_valid else 0, np.int64)
-            if len(counts):
-                pairs = rows["pieces_n"][i].values
-                counts[pairs.field("place").to_numpy()] = pairs.field("n").to_numpy()
+            parts = rows["parts"][i].as_py() or []
+            counts = np.zeros(1 + max((np.frombuffer(p["places"], np.int32)[-1] for p in parts), default=0), np.int64)
+            for part in parts:
+                counts[np.frombuffer(part["places"], np.int32)] = np.frombuffer(part["counts"], np.int32)
             running = np.concatenate([[0], np.cumsum(counts[keys] * times)])
             tokens = np.diff(running[np.concatenate([[0], ends])]) + rows["special"][i].values.to_numpy()
             yield pa.RecordBatch.from_arrays(
@@ -206,9 +231,9 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     found = (
         listed.repartition("piece")
         .sortWithinPartitions("piece")
-        .mapInArrow(_piece_counts(path), "block long, place int, n int")
+        .mapInArrow(_piece_counts(path), "block long, places binary, counts binary")
         .groupBy("block")
-        .agg(F.collect_list(F.struct("place", "n")).alias("pieces_n"))
+        .agg(F.collect_list(F.struct("places", "counts")).alias("parts"))
     )
     return (
         blocks.drop("pieces")
