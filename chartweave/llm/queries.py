@@ -15,6 +15,7 @@ from .mixing_query import OP8_SQL, op8_mix_sources
 from .secrets import find_secrets
 from .token_counts import count_tokens
 from .toxicity import held_out, learn_lexicon, score_toxicity
+from .wrappers import extract_text
 
 TOXIC_FROM = 0.3
 TOKEN_LIMIT = 512
@@ -35,6 +36,10 @@ def op4_hash_forest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op5_page_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = match_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -56,6 +61,6 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    q.__name__: q for q in (op2_secret_scan, op3_minhash, op4_hash_forest, op6_decontaminate, op8_mix_sources, op9_toxicity, op10_token_counts)
+    q.__name__: q for q in (op2_secret_scan, op3_minhash, op4_hash_forest, op5_page_wrappers, op6_decontaminate, op8_mix_sources, op9_toxicity, op10_token_counts)
 }
 SQL = {"op8_mix_sources": OP8_SQL}
