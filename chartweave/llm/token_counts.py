@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,6 +84,16 @@ class Splitter:
         return self._pieces(text), 0
 
 
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers as four planes of bytes, compressed; the upper planes of small numbers vanish."""
+    return zstandard.compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unsqueezed(planes: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(planes), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view(np.int32).ravel()
+
+
 def _blocks(path: str, id_arrow):
     """Per block of documents: its distinct pre-tokens, and each document's frequencies by place in that list."""
 
@@ -104,8 +115,8 @@ def _blocks(path: str, id_arrow):
                     pa.array([sizes], pa.list_(pa.int64())),
                     pa.array([special], pa.list_(pa.int64())),
                     pa.array([ends], pa.list_(pa.int64())),
-                    pa.array([np.concatenate(keys).tobytes() if keys else b""]),
-                    pa.array([np.concatenate(times).tobytes() if times else b""]),
+                    pa.array([_squeezed(np.concatenate(keys))]),
+                    pa.array([_squeezed(np.concatenate(times))]),
                 ],
                 names=BLOCK_COLUMNS,
             )
@@ -152,7 +163,7 @@ def _piece_counts(path: str):
         starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
         bounds = list(zip(starts, [*starts[1:], len(blocks)]))
         return pa.RecordBatch.from_arrays(
-            [pa.array(blocks[starts]), *(pa.array([x[a:b].tobytes() for a, b in bounds]) for x in (places, counts))],
+            [pa.array(blocks[starts]), *(pa.array([_squeezed(x[a:b]) for a, b in bounds]) for x in (places, counts))],
             names=["block", "places", "counts"],
         )
 
@@ -187,14 +198,16 @@ def _sums(batches):
         for i in range(batch.num_rows):
             ids = rows["ids"][i].values
             ends = rows["ends"][i].values.to_numpy()
-            steps = np.cumsum(np.frombuffer(rows["keys"][i].as_py(), np.int32), dtype=np.int64)
+            steps = np.cumsum(_unsqueezed(rows["keys"][i].as_py()), dtype=np.int64)
             starts = np.concatenate([[0], ends[:-1]])
             keys = steps - np.repeat(np.where(starts > 0, steps[starts - 1] if len(steps) else 0, 0), ends - starts)
-            times = np.frombuffer(rows["times"][i].as_py(), np.int32)
-            parts = rows["parts"][i].as_py() or []
-            counts = np.zeros(1 + max((np.frombuffer(p["places"], np.int32)[-1] for p in parts), default=0), np.int64)
-            for part in parts:
-                counts[np.frombuffer(part["places"], np.int32)] = np.frombuffer(part["counts"], np.int32)
+            times = _unsqueezed(rows["times"][i].as_py())
+            parts = [
+                (_unsqueezed(p["places"]), _unsqueezed(p["counts"])) for p in rows["parts"][i].as_py() or []
+            ]
+            counts = np.zeros(1 + max((places[-1] for places, _ in parts), default=0), np.int64)
+            for places, own in parts:
+                counts[places] = own
             running = np.concatenate([[0], np.cumsum(counts[keys] * times)])
             tokens = np.diff(running[np.concatenate([[0], ends])]) + rows["special"][i].values.to_numpy()
             yield pa.RecordBatch.from_arrays(
