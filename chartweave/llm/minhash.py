@@ -9,19 +9,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from .common import id_and_text, id_type, map_texts, saved
+from .common import id_and_text, id_type, map_texts, saved, slices
 from .components import components
 from .decontaminate import word_chunks
 
 COORDS = 64
 RISK = 1e-5
 GROUP = 4096
+PART = 2048
 SMALL = 64
-BLOCK = 512
-FIRST_PARTNERS = 2
-MORE_PARTNERS = 8
 # A-Z become a-z and the five control characters that part words become blanks.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -97,92 +94,77 @@ def _sign(size: int, coords: int):
     return work
 
 
-def _best(left, right, matches, partners: int):
-    """Which pairs are among the ``partners`` best of either side."""
-    keep = np.zeros(len(left), bool)
-    for side in (left, right):
-        order = np.lexsort((-matches, side))
-        sides = side[order]
-        starts = np.flatnonzero(np.r_[True, sides[1:] != sides[:-1]])
-        rank = np.arange(len(sides)) - np.repeat(starts, np.diff(np.r_[starts, len(sides)]))
-        keep[order[rank < partners]] = True
-    return keep
+class _Labels:
+    """Components of numbered nodes, merged by arrays of links."""
 
+    def __init__(self, count: int):
+        self.of = np.arange(count)
 
-def _pairs(needed: int, partners: int):
-    """Pairs of a coordinate value's documents that lie in different components and match often enough.
+    def merge(self, i: np.ndarray, j: np.ndarray) -> None:
+        while True:
+            a, b = self.of[i], self.of[j]
+            apart = a != b
+            if not apart.any():
+                return
+            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+            to = np.arange(len(self.of))
+            np.minimum.at(to, np.maximum(a, b), np.minimum(a, b))
+            while (to[to] != to).any():
+                to = to[to]
+            self.of = to[self.of]
+
+    def stars(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every node that isn't the first of its component, and that first one."""
+        rest = np.flatnonzero(self.of != np.arange(len(self.of)))
+        return rest, self.of[rest]
 
-    A pair that meets under several values is taken at the lowest coordinate of both prefixes only. Rows come
-    sorted by group. ``cut`` tells that a document had more partners than were taken.
-    """
 
-    def judged(i, j, rows):
-        i, j = i[keep := rows["comp"][i] != rows["comp"][j]], j[keep]
-        i, j = i[keep := rows["own"][i] | rows["own"][j]], j[keep]
-        found = []
-        for at in range(0, len(i), 1 << 16):
-            a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-            same = rows["sig"][a] == rows["sig"][b]
-            n = same.sum(axis=1)
-            enough = n >= needed
-            a, b, n, same = a[enough], b[enough], n[enough], same[enough]
-            bits = (same * (np.uint64(1) << np.arange(same.shape[1], dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
-            common = bits & rows["mask"][a] & rows["mask"][b]
-            lowest = common & (~common + np.uint64(1))
-            first = lowest == np.uint64(1) << (rows["key"][a] >> 32).astype(np.uint64)
-            found.append(np.stack([a[first], b[first], n[first]]))
-        return found
-
-    def groups(rows):
-        starts = np.flatnonzero(
-            np.r_[True, (rows["key"][1:] != rows["key"][:-1]) | (rows["salt"][1:] != rows["salt"][:-1])]
-        )
-        sizes = np.diff(np.r_[starts, len(rows["key"])])
-        found, cut = [], False
-        for size in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]):
-            i, j = np.triu_indices(size, 1)
-            at = starts[sizes == size]
-            step = max(1, (1 << 18) // len(i))
-            for k in range(0, len(at), step):
-                base = at[k : k + step, None]
-                found += judged((base + i).ravel(), (base + j).ravel(), rows)
-        for start, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
-            for a in range(start, start + size, BLOCK):
-                part = []
-                for b in range(a, start + size, BLOCK):
-                    i, j = np.meshgrid(
-                        np.arange(a, min(a + BLOCK, start + size)), np.arange(b, min(b + BLOCK, start + size)), indexing="ij"
-                    )
-                    below = i < j
-                    part += judged(i[below], j[below], rows)
-                block = np.concatenate(part, axis=1)
-                keep = _best(*block, partners)
-                cut |= not keep.all()
-                found.append(block[:, keep])
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-        keep = _best(*pairs, partners)
-        return pairs[:, keep], cut or not keep.all()
+def _collisions(needed: int):
+    """Links between the classes of a coordinate value whose signatures match often enough.
+
+    Pairs that are connected already are skipped. Only one link per class and task comes out: to the first
+    class of the component it fell into. Rows come sorted by value.
+    """
 
     def run(batches):
-        for table in _whole_groups(batches):
-            rows = {n: table.column(n).to_numpy() for n in ("key", "salt")}
-            rows["own"] = table.column("own").to_numpy()
-            rows["mask"] = table.column("mask").to_numpy().view(np.uint64)
-            rows["comp"] = table.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
-            flat = table.column("sig").combine_chunks().flatten().to_numpy()
-            rows["sig"] = flat.reshape(table.num_rows, -1)
-            (i, j, n), cut = groups(rows)
-            ids, keys = table.column("rep").combine_chunks(), table.column("skey").combine_chunks()
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(i), keys.take(i), ids.take(j), keys.take(j), pa.array(n.astype(np.int32)), pa.repeat(cut, len(i))],
-                names=["x", "xkey", "y", "ykey", "n", "cut"],
-            )
+        for table in _whole_groups(batches, ["key"]):
+            key = table.column("key").to_numpy()
+            node = table.column("skey").combine_chunks().dictionary_encode()
+            ids = table.column("rep").combine_chunks()
+            nodes = node.indices.to_numpy()
+            sig = table.column("sig").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+            labels = _Labels(len(node.dictionary))
+
+            def judge(i, j):
+                for at in range(0, len(i), 1 << 16):
+                    a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+                    apart = labels.of[nodes[a]] != labels.of[nodes[b]]
+                    a, b = a[apart], b[apart]
+                    near = (sig[a] == sig[b]).sum(axis=1) >= needed
+                    labels.merge(nodes[a[near]], nodes[b[near]])
+
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            sizes = np.diff(np.r_[starts, len(key)])
+            for size in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]):
+                i, j = np.triu_indices(size, 1)
+                at = starts[sizes == size]
+                step = max(1, (1 << 18) // len(i))
+                for k in range(0, len(at), step):
+                    base = at[k : k + step, None]
+                    judge((base + i).ravel(), (base + j).ravel())
+            for start, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
+                for row in range(start, start + size - 1):
+                    judge(np.full(start + size - row - 1, row), np.arange(row + 1, start + size))
+            first = np.full(len(node.dictionary), -1)
+            first[nodes[::-1]] = np.arange(table.num_rows)[::-1]
+            rest, root = labels.stars()
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(first[rest])), ids.take(pa.array(first[root]))], names=["a", "b"])
 
     return run
 
 
-def _whole_groups(batches, size: int = 20_000):
-    """Tables of about ``size`` rows or more that end between groups."""
+def _whole_groups(batches, names: list[str], size: int = 20_000):
+    """Tables of about ``size`` rows or more that end between groups of equal values in ``names``."""
     held, count = [], 0
     for batch in batches:
         if not batch.num_rows:
@@ -192,8 +174,11 @@ def _whole_groups(batches, size: int = 20_000):
         if count < size:
             continue
         table = pa.Table.from_batches(held)
-        key, salt = table.column("key").to_numpy(), table.column("salt").to_numpy()
-        last = np.flatnonzero((key != key[-1]) | (salt != salt[-1]))
+        other = np.zeros(table.num_rows, bool)
+        for name in names:
+            values = table.column(name).combine_chunks().dictionary_encode().indices.to_numpy()
+            other |= values != values[-1]
+        last = np.flatnonzero(other)
         end = last[-1] + 1 if len(last) else 0
         if end:
             yield table.slice(0, end)
@@ -203,26 +188,64 @@ def _whole_groups(batches, size: int = 20_000):
         yield pa.Table.from_batches(held)
 
 
-def _confirm(size: int, num: int, den: int):
+def _confirm(shingle: int, num: int, den: int):
+    """Links confirmed on full sets within a part of a cluster, one per document: to the first it is linked with.
+
+    A document is held against the first of each component, and only where that is no link against all others.
+    Guests are held against the part's own documents only; documents known to be connected (``comp``) are not
+    held against each other.
+    """
+
+    def linked(row: int, others: np.ndarray, flat, starts, sizes, mark) -> np.ndarray:
+        low, high = np.minimum(sizes[others], sizes[row]), np.maximum(sizes[others], sizes[row])
+        others = others[den * low >= num * high]
+        if not len(others):
+            return others
+        mark[flat[starts[row] : starts[row + 1]]] = True
+        places = np.concatenate([flat[starts[x] : starts[x + 1]] for x in others])
+        ends = np.cumsum(sizes[others])
+        both = np.add.reduceat(mark[places].astype(np.int64), np.r_[0, ends[:-1]])
+        mark[flat[starts[row] : starts[row + 1]]] = False
+        return others[den * both >= num * (sizes[others] + sizes[row] - both)]
+
     def run(batches):
-        hashes, sets = _Hashes(), {}
-
-        def shingles(key, text):
-            if key not in sets:
-                if len(sets) > 200:
-                    sets.clear()
-                sets[key] = shingle_set(text, size, hashes)
-            return sets[key]
-
-        for batch in batches:
-            linked = []
-            for xkey, ykey, a, b in zip(*(batch.column(n).to_pylist() for n in ("xkey", "ykey", "xtext", "ytext"))):
-                x, y = shingles(xkey, a), shingles(ykey, b)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(den * both >= num * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("x"), batch.column("y"), pa.array(linked, pa.bool_())], names=["x", "y", "linked"]
-            )
+        hashes = _Hashes()
+        small = (part for batch in batches for part in slices([batch], "text"))
+        for table in _whole_groups(small, ["cluster", "part"], 2_000):
+            cluster = table.column("cluster").combine_chunks().dictionary_encode().indices.to_numpy()
+            part = table.column("part").to_numpy()
+            starts_at = np.flatnonzero(np.r_[True, (cluster[1:] != cluster[:-1]) | (part[1:] != part[:-1])])
+            ids = table.column("id").combine_chunks()
+            left, right = [], []
+            for a, b in zip(starts_at, np.r_[starts_at[1:], len(part)]):
+                rows = table.slice(a, b - a)
+                sets = [shingle_set(t, shingle, hashes) for t in rows.column("text").to_pylist()]
+                sizes = np.array([len(x) for x in sets])
+                universe, flat = np.unique(np.concatenate(sets), return_inverse=True)
+                starts, mark = np.r_[0, np.cumsum(sizes)], np.zeros(len(universe), bool)
+                guest = rows.column("guest").to_numpy()
+                comp = rows.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
+                labels = _Labels(len(sets))
+                order = np.argsort(comp, kind="stable")
+                same = comp[order[1:]] == comp[order[:-1]]
+                labels.merge(order[1:][same], order[:-1][same])
+                for row in np.flatnonzero(guest) if guest.any() else range(1, len(sets)):  # own ones were held before
+                    for heads_only in (True, False):
+                        others = np.arange(row)
+                        if heads_only:
+                            others = np.unique(labels.of[:row])
+                            others = others[others < row]
+                        others = others[labels.of[others] != labels.of[row]]
+                        others = others[~(guest[others] & guest[row])]
+                        while len(others):
+                            now, others = others[:256], others[256:]
+                            found = linked(row, now, flat, starts, sizes, mark)
+                            if len(found):
+                                left += [a + row] * len(found)
+                                right += (a + found).tolist()
+                                labels.merge(np.full(len(found), row), found)
+                                others = others[labels.of[others] != labels.of[row]]
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(left, pa.int64())), ids.take(pa.array(right, pa.int64()))], names=["a", "b"])
 
     return run
 
@@ -249,11 +272,12 @@ def near_duplicates(
        them; two classes that match in enough coordinates share one among the rarest of each (the prefix), so
        only prefixes are joined, and values of a common passage stay out. A class that shares too few values
        with anyone is out at once.
-    3. Within a value, matches are counted on whole signatures. A pair that meets under several values is taken
-       once, and a pair that is connected already is skipped. Each class names its best partners only; those
-       are confirmed on full sets, components are merged, and further partners are named until none is left,
-       so the pairs of a large group of near copies are never all listed and no link between components is lost.
-       Groups of over 4,096 are split by salt; there, documents outside the largest component visit all parts.
+    3. Within a value, matches are counted on whole signatures, skipping pairs that are connected already. Pairs
+       above the match threshold make clusters; a value of more than ``GROUP`` classes makes one without counting.
+    4. Clusters are confirmed on full sets: each document travels once, and only one link per document comes out,
+       so the pairs of a large group of near copies are never listed. A cluster of more than ``PART`` documents
+       is dealt to parts; then the documents outside its largest component visit all other parts, so every pair
+       that is not connected by then is held against each other.
 
     The number of matches asked for misses a link with a chance below one in 100,000.
     """
@@ -266,71 +290,59 @@ def near_duplicates(
         signed.where("n > 0 AND id IS NOT NULL").groupBy("skey").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"))
     )
 
-    posted = reps.select("rep", "skey", F.posexplode("sig").alias("coord", "value")).select(
-        "rep", "skey",
+    posted = reps.select("skey", F.posexplode("sig").alias("coord", "value")).select(
+        "skey",
         (F.shiftleft(F.col("coord").cast("long"), 32) + F.col("value").cast("long").bitwiseAND(0xFFFFFFFF)).alias("key"),
-    )
-    shared = posted.select("key").groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    )
+    shared = posted.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     prefixes = (
-        posted.select("skey", "key")
-        .join(shared, "key")
+        posted.join(shared, "key")
         .groupBy("skey")
         .agg(F.sort_array(F.collect_list(F.struct("held", "key"))).alias("keys"))
         .where(F.size("keys") >= needed)
         .select("skey", F.slice("keys.key", 1, F.size("keys") - needed + 1).alias("keys"))
-        .withColumn("mask", F.aggregate("keys", F.lit(0).cast("long"), _with_bit))
     )
     able = saved(reps.join(prefixes, "skey"))
-    posts = able.select("skey", F.explode("keys").alias("key"))
-    live = posts.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    posts = saved(posts.join(live.select("key"), "key"))
-    able = able.drop("keys")
-
-    able_texts = texts.join(able.select(F.col("rep").alias("id")).distinct(), "id")
-    found_texts = saved(
-        map_texts(able_texts, "text", _keyed(shingle), f"id {kind}, skey binary, text string").dropDuplicates(["id", "skey"])
+    posts = able.select("skey", "rep", F.explode("keys").alias("key"))
+    groups = posts.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("rep").alias("first")).where("held > 1")
+    posts = saved(posts.join(groups, "key"))
+    counted = (
+        posts.where(F.col("held") <= GROUP)
+        .select("key", "skey")
+        .join(able.select("skey", "rep", "sig"), "skey")
+        .select("key", "skey", "rep", "sig")
+        .repartition("key")
+        .sortWithinPartitions("key", "rep")
+        .mapInArrow(_collisions(needed), f"a {kind}, b {kind}")
     )
+    hot = posts.where(F.col("held") > GROUP).select(F.col("rep").alias("a"), F.col("first").alias("b"))
+    clusters = components(counted.union(hot).distinct())
+    sizes = clusters.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    clusters = saved(clusters.toDF("id", "cluster").join(sizes.toDF("cluster", "parts"), "cluster"))
 
-    labels = able.select("skey", "rep", F.col("rep").alias("comp"))
-    tested, visit, partners = None, False, FIRST_PARTNERS
-    while True:
-        named = saved(_named(posts, able, labels, visit, needed, partners, kind))
-        cut = bool(named.where("cut").limit(1).count())
-        fresh = named.select("x", "xkey", "y", "ykey", "n").distinct()
-        if tested is not None:
-            fresh = fresh.join(tested.select("xkey", "ykey"), ["xkey", "ykey"], "left_anti")
-        fresh = saved(_ranked(fresh, partners))
-        if not fresh.limit(1).count():
-            if visit and not cut:
-                break
-            partners, visit = partners * (MORE_PARTNERS if visit else 1), True
-            continue
-        visit = True
-        sides = [found_texts.toDF(s, f"{s}key", f"{s}text") for s in ("x", "y")]
-        sure = saved(
-            fresh.select("x", "xkey", "y", "ykey")
-            .join(sides[0], ["x", "xkey"])
-            .join(sides[1], ["y", "ykey"])
-            .select("x", "xkey", "y", "ykey", "xtext", "ytext")
-            .mapInArrow(_confirm(shingle, num, den), f"x {kind}, y {kind}, linked boolean")
-        )
-        tested = fresh.select("xkey", "ykey") if tested is None else saved(tested.union(fresh.select("xkey", "ykey")))
-        comp = labels.select("rep", "comp").distinct()
-        links = (
-            sure.where("linked")
-            .join(comp.toDF("x", "a"), "x")
-            .join(comp.toDF("y", "b"), "y")
-            .select("a", "b")
-            .where("a <> b")
-        )
-        merged = components(links)
-        labels = saved(
-            labels.join(merged.toDF("comp", "to"), "comp", "left").select(
-                "skey", "rep", F.coalesce("to", "comp").alias("comp")
-            )
-        )
-        partners *= MORE_PARTNERS
-    classes = reps.select("skey", "rep").join(labels.select("skey", "comp"), "skey", "left")
+    members = saved(
+        texts.join(clusters, "id").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    )
+
+    def confirmed(rows: DataFrame) -> DataFrame:
+        rows = rows.select("cluster", "part", "guest", "comp", "id", "text").where("text IS NOT NULL")
+        dealt = rows.repartition("cluster", "part").sortWithinPartitions("cluster", "part", "guest", "id")
+        return dealt.mapInArrow(_confirm(shingle, num, den), f"a {kind}, b {kind}")
+
+    links = saved(confirmed(members.withColumn("guest", F.lit(False)).withColumn("comp", F.col("id"))))
+    split = members.where("parts > 1")
+    if split.limit(1).count():
+        labels = components(links).toDF("id", "label")
+        split = split.join(labels, "id", "left").withColumn("comp", F.coalesce("label", "id")).drop("label")
+        held = split.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("held"))
+        most = held.groupBy("cluster").agg(F.max_by("comp", "held").alias("most"))
+        split = split.join(most, "cluster").withColumn("home", F.col("part"))
+        everywhere = F.sequence(F.lit(0), F.col("parts") - 1)
+        visits = F.when(F.col("comp") != F.col("most"), everywhere).otherwise(F.array("home"))
+        guests = split.withColumn("part", F.explode(visits)).withColumn("guest", F.col("part") != F.col("home"))
+        links = saved(links.union(confirmed(guests)))
+    comps = components(links).toDF("rep", "comp")
+    classes = reps.select("skey", "rep").join(comps, "rep", "left")
     classes = classes.select("skey", F.coalesce("comp", "rep").alias("comp"))
     linked = signed.select("id", "n", "skey").where("n > 0 AND id IS NOT NULL").join(classes, "skey").drop("skey")
     alone = signed.where("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("comp"))
@@ -340,52 +352,3 @@ def near_duplicates(
         F.col("comp").alias("component_id"),
         F.coalesce(F.col("id") == F.col("comp"), F.lit(True)).alias("kept"),
     )
-
-
-def _keyed(size: int):
-    def work(batch: pa.RecordBatch) -> dict:
-        hashes = _Hashes()
-        keys = [xxhash.xxh3_128_digest(shingle_set(t, size, hashes).tobytes()) for t in batch.column("text").to_pylist()]
-        return {"id": batch.column("id"), "skey": pa.array(keys, pa.binary()), "text": batch.column("text")}
-
-    return work
-
-
-def _with_bit(mask, key):
-    """The mask with the bit of the key's coordinate set."""
-    return mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(key, 32).cast("int")))
-
-
-def _ranked(pairs: DataFrame, partners: int) -> DataFrame:
-    """The pairs that are among the best of either side."""
-    sides = pairs.select("*", F.col("xkey").alias("side")).union(pairs.select("*", F.col("ykey").alias("side")))
-    rank = F.row_number().over(Window.partitionBy("side").orderBy(F.desc("n"), "xkey", "ykey"))
-    return sides.withColumn("rank", rank).where(F.col("rank") <= partners).drop("side", "rank").distinct()
-
-
-def _named(posts, able, labels, visit: bool, needed: int, partners: int, kind: str) -> DataFrame:
-    """Partners named by the documents of every value that holds more than one component."""
-    rows = posts.join(labels.select("skey", "comp"), "skey")
-    held = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("held"))
-    groups = (
-        held.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("comps"), F.sum("held").alias("held"), F.max_by("comp", "held").alias("most"))
-        .where("comps > 1")
-        .withColumn("parts", F.ceil(F.col("held") / GROUP).cast("int"))
-    )
-    rows = rows.join(groups.select("key", "most", "parts"), "key")
-    home = F.pmod(F.xxhash64("skey", "key"), F.col("parts")).cast("int")
-    rows = rows.withColumn("home", home)
-    guest = (F.col("parts") > 1) & (F.col("comp") != F.col("most")) & F.lit(visit)
-    everywhere = F.sequence(F.lit(0), F.col("parts") - 1)
-    rows = rows.withColumn("salt", F.explode(F.when(guest, everywhere).otherwise(F.array("home"))))
-    rows = rows.withColumn("own", F.col("salt") == F.col("home")).select("key", "salt", "own", "comp", "skey")
-    return (
-        rows.join(able, "skey")
-        .select("key", "salt", "own", "comp", "skey", "rep", "sig", "mask")
-        .repartition("key", "salt")
-        .sortWithinPartitions("key", "salt", "skey")
-        .mapInArrow(
-            _pairs(needed, partners), f"x {kind}, xkey binary, y {kind}, ykey binary, n int, cut boolean"
-        )
-    )

@@ -39,10 +39,10 @@ def _docs():
     return [*enumerate(texts), (3, texts[3]), (None, texts[5]), (None, texts[5])]
 
 
-@pytest.mark.parametrize("group,partners", [(4096, 2), (4, 1)])
-def test_components_of_near_copies(spark, documents, monkeypatch, group, partners):
+@pytest.mark.parametrize("group,part", [(4096, 2048), (4, 5)])
+def test_components_of_near_copies(spark, documents, monkeypatch, group, part):
     monkeypatch.setattr(minhash, "GROUP", group)
-    monkeypatch.setattr(minhash, "FIRST_PARTNERS", partners)
+    monkeypatch.setattr(minhash, "PART", part)
     docs = _docs()
     got = near_duplicates(documents(docs), shingle=3, similarity=(85, 100))
     assert collected(got) == sorted(brute.near_components(docs), key=repr)
