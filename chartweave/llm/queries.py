@@ -12,6 +12,7 @@ from .common import table
 from .decontaminate import match_items
 from .minhash import near_duplicates
 from .mixing_query import OP8_SQL, op8_mix_sources
+from .seed_extend import cut_repeated_words
 from .secrets import find_secrets
 from .token_counts import count_tokens
 from .toxicity import held_out, learn_lexicon, score_toxicity
@@ -47,6 +48,11 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_seed_extend(spark: SparkSession, folder: str) -> DataFrame:
+    cut = cut_repeated_words(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     lexicon = learn_lexicon(docs, table(spark, folder, "labels").where(~held_out()))
@@ -61,6 +67,6 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    q.__name__: q for q in (op2_secret_scan, op3_minhash, op4_hash_forest, op5_page_wrappers, op6_decontaminate, op8_mix_sources, op9_toxicity, op10_token_counts)
+    q.__name__: q for q in (op2_secret_scan, op3_minhash, op4_hash_forest, op5_page_wrappers, op6_decontaminate, op7_seed_extend, op8_mix_sources, op9_toxicity, op10_token_counts)
 }
 SQL = {"op8_mix_sources": OP8_SQL}

@@ -77,3 +77,41 @@ def near_components(docs, size=3, num=85, den=100):
         comp = least.get(find(i))
         out.append((doc_id, len(sets[i]), comp, doc_id is None or doc_id == comp))
     return out
+
+
+def cut_words(docs, size=35):
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in docs]
+    seen: dict[tuple, int] = {}
+    for w in words:
+        for i in range(len(w) - size + 1):
+            key = tuple(w[i : i + size])
+            seen[key] = seen.get(key, 0) + 1
+    out = []
+    for (doc_id, _), w in zip(docs, words):
+        gone = [False] * len(w)
+        for i in range(len(w) - size + 1):
+            if seen[tuple(w[i : i + size])] > 1:
+                gone[i : i + size] = [True] * size
+        out.append((doc_id, len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g)))
+    return out
+
+
+def cut_bytes(docs, size=50):
+    """(id, n_bytes, n_removed, n_spans, kept): a string counts if a document with a smaller id has it too."""
+    first: dict[bytes, int] = {}
+    raws = [(i, (t or "").encode()) for i, t in docs]
+    for doc_id, raw in raws:
+        if doc_id is not None:
+            for k in range(len(raw) - size + 1):
+                key = raw[k : k + size]
+                first[key] = min(first.get(key, doc_id), doc_id)
+    out = []
+    for doc_id, raw in raws:
+        gone = bytearray(len(raw))
+        if doc_id is not None:
+            for k in range(len(raw) - size + 1):
+                if first[raw[k : k + size]] < doc_id:
+                    gone[k : k + size] = b"\1" * size
+        spans = len(re.findall(b"\1+", bytes(gone)))
+        out.append((doc_id, len(raw), sum(gone), spans, bytes(b for b, g in zip(raw, gone) if not g)))
+    return out
