@@ -129,11 +129,11 @@ def _collisions(needed: int):
     def run(batches):
         for table in _whole_groups(batches, ["key"]):
             key = table.column("key").to_numpy()
-            node = table.column("skey").combine_chunks().dictionary_encode()
             ids = table.column("rep").combine_chunks()
-            nodes = node.indices.to_numpy()
+            # numbered by id, so that the tasks of a group mostly name the same first class
+            _, first, nodes = np.unique(ids.to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
             sig = table.column("sig").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
-            labels = _Labels(len(node.dictionary))
+            labels = _Labels(len(first))
 
             def judge(i, j):
                 for at in range(0, len(i), 1 << 16):
@@ -155,8 +155,6 @@ def _collisions(needed: int):
             for start, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
                 for row in range(start, start + size - 1):
                     judge(np.full(start + size - row - 1, row), np.arange(row + 1, start + size))
-            first = np.full(len(node.dictionary), -1)
-            first[nodes[::-1]] = np.arange(table.num_rows)[::-1]
             rest, root = labels.stars()
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(first[rest])), ids.take(pa.array(first[root]))], names=["a", "b"])
 
@@ -310,7 +308,7 @@ def near_duplicates(
         posts.where(F.col("held") <= GROUP)
         .select("key", "skey")
         .join(able.select("skey", "rep", "sig"), "skey")
-        .select("key", "skey", "rep", "sig")
+        .select("key", "rep", "sig")
         .repartition("key")
         .sortWithinPartitions("key", "rep")
         .mapInArrow(_collisions(needed), f"a {kind}, b {kind}")
