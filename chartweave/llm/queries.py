@@ -12,6 +12,7 @@ from .common import table
 from .decontaminate import match_items
 from .minhash import near_duplicates
 from .mixing_query import OP8_SQL, op8_mix_sources
+from .run_index import cut_earlier_bytes
 from .seed_extend import cut_repeated_words
 from .secrets import find_secrets
 from .token_counts import count_tokens
@@ -22,6 +23,11 @@ TOXIC_FROM = 0.3
 TOKEN_LIMIT = 512
 
 
+def op1_run_index(spark: SparkSession, folder: str) -> DataFrame:
+    cut = cut_earlier_bytes(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = find_secrets(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return found.select(
@@ -67,6 +73,6 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    q.__name__: q for q in (op2_secret_scan, op3_minhash, op4_hash_forest, op5_page_wrappers, op6_decontaminate, op7_seed_extend, op8_mix_sources, op9_toxicity, op10_token_counts)
+    q.__name__: q for q in (op1_run_index, op2_secret_scan, op3_minhash, op4_hash_forest, op5_page_wrappers, op6_decontaminate, op7_seed_extend, op8_mix_sources, op9_toxicity, op10_token_counts)
 }
 SQL = {"op8_mix_sources": OP8_SQL}

@@ -20,9 +20,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import id_and_text, id_type, saved, slices
 from .winnow import RangeHash, fragments
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 BUCKET_BYTES = 8 << 20
 SEGMENT = 1 << 20
+#: contexts of one anchor from which on its windows are dealt by their content
+HOT = 20_000
 SETTLED, ASKED, DONE = 0, 1, 2
 _BYTE_SYMBOLS = np.random.default_rng(11).integers(0, 2**63, 256, np.uint64) | np.uint64(1)
 _BLANKS = bytes(32 if 9 <= c <= 13 else c for c in range(256))
@@ -124,8 +126,11 @@ class Block:
             self.symbols = _BYTE_SYMBOLS[self.raw]
         self.ends = np.cumsum(counts)
         self.starts = self.ends - counts
-        self.owner = np.repeat(np.arange(len(counts)), counts)
-        self.left = self.ends[self.owner] - np.arange(len(self.symbols)) if len(counts) else np.zeros(0, np.int64)
+        ends = self.ends.astype(np.int32)
+        self.left = np.repeat(ends, counts) - np.arange(len(self.symbols), dtype=np.int32)
+
+    def owner(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ends, places, side="right")
 
 
 def _fragment_rows(rule: Rule, buckets: int):
@@ -156,7 +161,7 @@ def _fragment_rows(rule: Rule, buckets: int):
                 if not parts:
                     continue
                 anchor, content, first, count, turn = (np.concatenate(c).astype(np.int64) for c in zip(*parts))
-                owner = block.owner[first]
+                owner = block.owner(first)
                 if rule.earlier:
                     known = ~np.array(block.ids.is_null())[owner]
                     anchor, content, first, count, turn, owner = (
@@ -219,6 +224,7 @@ def _settle(rule: Rule, buckets: int):
             else:
                 gone = (np.bincount(group)[group] > 1) | (np.maximum.reduceat(rank, np.flatnonzero(head))[group] > 0)
                 ask = several & (head | ~gone)
+            shape = shape | ((np.bincount(lot, weights=ask)[lot] > HOT).astype(np.int64) << 16)
             for number, name in enumerate(numbers):
                 mine = block == number
                 if (done := mine & gone).any():
@@ -247,7 +253,8 @@ def _closer_rows(rule: Rule, buckets: int, rows_of):
                 block = Block(batch, row, rule)
                 asked = [unpacked(d.as_py(), 4) for d in batch.column("parts")[row].values]
                 first, shape, anchor, rank = (np.concatenate(c) for c in zip(*asked))
-                for lot, data in rows_of(block, first, shape & 255, anchor, rank, buckets):
+                hot = (shape >> 16) > 0
+                for lot, data in rows_of(block, first, shape & 255, anchor, rank, hot, buckets):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lot], pa.int32()), pa.array([block.number], pa.int64()), pa.array([data], pa.binary())],
                         names=["bucket", "block", "data"],

@@ -17,12 +17,12 @@ SEED = 16
 def _extended(size: int):
     """Every window of the asked fragments: the seed, extended to each split of what is missing left and right."""
 
-    def rows(block, first, count, anchor, rank, buckets: int):
+    def rows(block, first, count, anchor, rank, hot, buckets: int):
         ends = np.cumsum(count)
         start = np.repeat(first, count) + np.arange(ends[-1]) - np.repeat(ends - count, count)
         seed, alone = np.repeat(anchor, count), np.repeat(rank == 0, count)
         hashes = RangeHash(block.symbols)(start, start + size).view(np.int64)
-        lot = seed % buckets
+        lot = np.where(np.repeat(hot, count), hashes, seed) % buckets
         order = np.argsort(lot, kind="stable")
         bounds = np.flatnonzero(np.r_[True, np.diff(lot[order]) != 0, True])
         for a, b in zip(bounds[:-1], bounds[1:]):

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from chartweave.llm import queries, repeats
+from chartweave.llm.run_index import RunIndex, cut_earlier_bytes
 from chartweave.llm.seed_extend import cut_repeated_words
 
 from . import brute
@@ -58,3 +60,40 @@ def test_word_query(spark):
     assert collected(queries.op7_seed_extend(spark, DATA)) == sorted(want, key=repr)
 
 
+
+
+@pytest.mark.parametrize("bucket", [8 << 20, 2000])
+def test_earlier_bytes(documents, monkeypatch, bucket):
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", bucket)
+    docs = _docs()
+    got = [(i, n, gone, spans, bytes(kept)) for i, n, gone, spans, kept in collected(cut_earlier_bytes(documents(docs)))]
+    assert sorted(got, key=repr) == sorted(brute.cut_bytes(docs), key=repr)
+
+
+def test_earlier_bytes_of_other_length_and_empty_table(documents):
+    docs = _docs()
+    got = [tuple(r[:4]) for r in collected(cut_earlier_bytes(documents(docs), window=20, anchor=7))]
+    assert sorted(got, key=repr) == sorted((r[:4] for r in brute.cut_bytes(docs, 20)), key=repr)
+    assert cut_earlier_bytes(documents([])).count() == 0
+
+
+def test_byte_query(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()]
+    want = [(*r[:4], brute.sha(r[4])) for r in brute.cut_bytes(docs)]
+    assert collected(queries.op1_run_index(spark, DATA)) == sorted(want, key=repr)
+
+
+def test_index_gives_first_documents():
+    rng = random.Random(1)
+    strings = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 40))).encode() for _ in range(60)]
+    docs = np.sort(np.array([rng.randrange(20) for _ in strings]))
+    lengths = np.array([len(s) for s in strings])
+    index = RunIndex(np.frombuffer(b"".join(strings), np.uint8), lengths, docs, 9)
+    seen = 0
+    for which, distance, first in index.stream(lengths):
+        for n, doc in zip(which.tolist(), first.tolist()):
+            string = strings[n][len(strings[n]) - distance :][:9]
+            assert doc == min(d for s, d in zip(strings, docs) if string in s)
+            seen += 1
+    assert seen == sum(max(0, len(s) - 8) for s in strings)
+    assert len(index.starts) < len(index.run_of)
