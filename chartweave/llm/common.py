@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from chartweave.session import shared_folder
 
@@ -60,8 +61,6 @@ def map_texts(frame: DataFrame, column: str, work: Callable[[pa.RecordBatch], di
 
 
 def _names(spark: SparkSession, schema: str) -> list[str]:
-    from pyspark.sql.types import StructType
-
     return StructType.fromDDL(schema).names
 
 
@@ -77,4 +76,15 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def id_type(docs: DataFrame, id_col: str) -> str:
-    return docs.schema[id_col].dataType.simpleString()
+    return _ddl(docs.schema[id_col].dataType)
+
+
+def _ddl(kind: DataType) -> str:
+    if not isinstance(kind, StructType):
+        return kind.simpleString()
+    return "struct<" + ", ".join(f"`{f.name}`: {_ddl(f.dataType)}" for f in kind.fields) + ">"
+
+
+def whole_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Each row as one value ``row`` beside its text: an id for operators that hand ids through."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text_col}`").alias("text"))

@@ -77,8 +77,10 @@ def mix(
     share: float = 0.5,
     seed: str = "mix-",
     id_col: str = "doc_id",
+    carry: bool = False,
 ) -> DataFrame:
-    """One row per input row: the id, the dimensions, ``n_tokens``, ``probability`` and ``sampled``.
+    """One row per input row: the id, the dimensions, ``n_tokens``, ``probability`` and ``sampled``; with ``carry``
+    also ``row``, the whole input row as a struct.
 
     ``dimensions`` names the margins and gives their value per document, null counting as a value of its own;
     ``tokens`` is a document's weight, of at least 1. A dimension's target shares come from ``targets`` (value,
@@ -95,6 +97,7 @@ def mix(
         F.col(f"`{id_col}`").alias("id"),
         *(F.coalesce(value.cast("string"), F.lit(MISSING)).alias(name) for name, value in dimensions.items()),
         F.greatest(F.coalesce(tokens.cast("long"), F.lit(1)), F.lit(1)).alias("n_tokens"),
+        *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if carry else []),
     )
     cells = saved(rows.groupBy(*names).agg(F.sum("n_tokens").alias("mass")))
     aims = {n: (targets or {}).get(n) for n in names}
@@ -103,5 +106,5 @@ def mix(
     return (
         rows.join(fitted, names)
         .withColumn("sampled", uniform("id", seed) < F.col("probability"))
-        .select(F.col("id").alias(id_col), *names, "n_tokens", "probability", "sampled")
+        .select(F.col("id").alias(id_col), *names, "n_tokens", "probability", "sampled", *(["row"] if carry else []))
     )

@@ -26,9 +26,10 @@ def topic(text="text"):
     )
 
 
-def mixed(docs: DataFrame) -> DataFrame:
+def mixed(docs: DataFrame, carry: bool = False) -> DataFrame:
     dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic()}
-    return mix(docs, dimensions, F.regexp_count("text", F.lit(WORD)) + 1, powers=POWERS, share=SHARE, seed=SEED)
+    tokens = F.regexp_count("text", F.lit(WORD)) + 1
+    return mix(docs, dimensions, tokens, powers=POWERS, share=SHARE, seed=SEED, carry=carry)
 
 
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
