@@ -8,25 +8,36 @@ from pyspark.sql import functions as F
 from .common import saved
 
 
+def _apart(links: DataFrame) -> DataFrame:
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable over ``links`` (a, b), for every node that has a link.
 
-    Each round takes the smallest label among a node and its neighbours and then the label of that label, so
-    the rounds needed grow with the logarithm of a chain's length. Rounds are written tables; only the number
-    of changed labels reaches the driver.
+    Each round every node points to its smallest neighbour or itself, pointers are followed to their ends, and
+    links are drawn between the ends; links within one component vanish, so each round works on what is left.
+    Rounds are written tables; only whether anything is left reaches the driver.
     """
-    ways = links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct()
-    ways = saved(ways.toDF("node", "to"))
-    labels = saved(ways.groupBy("node").agg(F.min("to").alias("least")).select("node", F.least("node", "least").alias("comp")))
+    edges, labels = saved(_apart(links)), None
     while True:
-        near = ways.join(labels.toDF("to", "comp"), "to").select("node", "comp")
-        least = near.union(labels).groupBy("node").agg(F.min("comp").alias("comp"))
-        next_hop = labels.toDF("comp", "hop")
-        jumped = least.join(next_hop, "comp", "left").select(
-            "node", F.least("comp", F.coalesce("hop", "comp")).alias("comp")
+        ways = edges.union(edges.select("b", "a"))
+        ends = saved(ways.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("comp")))
+        while True:
+            further = ends.join(ends.toDF("comp", "up"), "comp")
+            ends = saved(further.select("node", F.col("up").alias("comp"), (F.col("up") != F.col("comp")).alias("moved")))
+            moved = ends.where("moved").limit(1).count()
+            ends = ends.drop("moved")
+            if not moved:
+                break
+        if labels is None:
+            labels = ends
+        else:
+            labels = saved(
+                labels.join(ends.toDF("comp", "to"), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+            )
+        edges = saved(
+            _apart(edges.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
         )
-        after = saved(jumped)
-        changed = after.join(labels.toDF("node", "before"), "node").where("comp <> before").limit(1).count()
-        labels = after
-        if not changed:
+        if not edges.limit(1).count():
             return labels
