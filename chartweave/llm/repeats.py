@@ -26,7 +26,7 @@ SEGMENT = 1 << 20
 #: contexts of one anchor from which on its windows are dealt by their content
 HOT = 20_000
 SETTLED, ASKED, DONE = 0, 1, 2
-_BYTE_SYMBOLS = np.random.default_rng(11).integers(0, 2**63, 256, np.uint64) | np.uint64(1)
+BYTE_SYMBOLS = np.random.default_rng(11).integers(0, 2**63, 256, np.uint64) | np.uint64(1)
 _BLANKS = bytes(32 if 9 <= c <= 13 else c for c in range(256))
 
 
@@ -123,7 +123,7 @@ class Block:
         else:
             counts = np.diff(np.r_[0, np.array(ends, np.int64)])
             self.raw = np.frombuffer(body, np.uint8)
-            self.symbols = _BYTE_SYMBOLS[self.raw]
+            self.symbols = BYTE_SYMBOLS[self.raw]
         self.ends = np.cumsum(counts)
         self.starts = self.ends - counts
         ends = self.ends.astype(np.int32)
@@ -220,7 +220,9 @@ def _settle(rule: Rule, buckets: int):
             several = np.bincount(lot[head])[lot] > 1
             if rule.earlier:
                 gone = rank > rank[np.flatnonzero(head)][group]
-                ask = several & ~gone
+                ends = np.flatnonzero(new_anchor)
+                apart = np.minimum.reduceat(rank, ends) != np.maximum.reduceat(rank, ends)  # else one document's own
+                ask = several & apart[lot] & ~gone
             else:
                 gone = (np.bincount(group)[group] > 1) | (np.maximum.reduceat(rank, np.flatnonzero(head))[group] > 0)
                 ask = several & (head | ~gone)
@@ -254,7 +256,7 @@ def _closer_rows(rule: Rule, buckets: int, rows_of):
                 asked = [unpacked(d.as_py(), 4) for d in batch.column("parts")[row].values]
                 first, shape, anchor, rank = (np.concatenate(c) for c in zip(*asked))
                 hot = (shape >> 16) > 0
-                for lot, data in rows_of(block, first, shape & 255, anchor, rank, hot, buckets):
+                for lot, data in rows_of(block, first, shape & 255, (shape >> 8) & 255, anchor, rank, hot, buckets):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lot], pa.int32()), pa.array([block.number], pa.int64()), pa.array([data], pa.binary())],
                         names=["bucket", "block", "data"],

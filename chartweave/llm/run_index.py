@@ -8,8 +8,8 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from .common import id_type
-from .repeats import Rule, blocks_of, cut, packed, repeated, unpacked
-from .winnow import RangeHash
+from .repeats import BYTE_SYMBOLS, Rule, blocks_of, cut, packed, repeated, unpacked
+from .winnow import RangeHash, mixed
 
 WINDOW = 50
 ANCHOR = 16
@@ -61,24 +61,34 @@ class RunIndex:
 
     @staticmethod
     def _sorted(text, at, stop, longest: int, size: int):
-        """Rows in suffix order; ranks by prefixes of the largest power of two up to ``size``, and that power."""
+        """Rows in suffix order; ranks by prefixes of the largest power of two up to ``size``, and that power.
+
+        Sorting by prefixes of doubling length; it ends early once all suffixes differ.
+        """
+        padded = np.concatenate([text, np.zeros(8, np.uint8)])
         key = np.zeros(len(text), np.uint64)
+        inside = np.ones(len(text), bool)
         for k in range(8):
-            key = (key << np.uint64(8)) | text[np.minimum(at + k, stop)].astype(np.uint64)
-        width, half, kept = 8, None, 8
+            now = padded[k : k + len(text)] * inside
+            inside &= now != 0
+            key = (key << np.uint64(8)) | now
+        width, half, kept, places = 8, None, 8, 0
         while True:
-            rows = np.argsort(key, kind="stable")
-            step = np.r_[False, key[rows[1:]] != key[rows[:-1]]]
+            rows = np.argsort(key)
+            ordered = key[rows]
+            step = np.cumsum(np.r_[False, ordered[1:] != ordered[:-1]])
             rank = np.empty(len(text), np.int64)
-            rank[rows] = np.cumsum(step)
+            rank[rows] = step
             if width <= size:
                 half, kept = rank, width
-            if width >= longest + 1 and 2 * width > size:
-                return rows, half, kept
+            settled = step[-1] + 1 == len(text) or step[-1] + 1 == places or width > longest
+            if settled and 2 * width > size:
+                # equal suffixes stand in document order
+                return np.argsort((rank.astype(np.uint64) << np.uint64(32)) | at.astype(np.uint64)), half, kept
+            places = step[-1] + 1
             on = at + width
-            key = (rank.astype(np.uint64) << np.uint64(32)) | np.where(
-                on < stop, rank[np.minimum(on, stop)] + 1, 0
-            ).astype(np.uint64)
+            follower = np.where(on < stop, rank[np.minimum(on, stop)] + 1, 0)
+            key = (rank.astype(np.uint64) << np.uint64(32)) | follower.astype(np.uint64)
             width *= 2
 
     def stream(self, lengths: np.ndarray):
@@ -99,27 +109,48 @@ class RunIndex:
 def _strings(size: int):
     """The asked fragments' bytes, packed per bucket."""
 
-    def rows(block, first, count, anchor, rank, hot, buckets: int):
+    def rows(block, first, count, turn, anchor, rank, hot, buckets: int):
         lot = anchor % buckets
         if hot.any():  # an anchor in too many contexts: windows one by one, dealt by their content
             ends = np.cumsum(count[hot])
             start = np.repeat(first[hot], count[hot]) + np.arange(ends[-1]) - np.repeat(ends - count[hot], count[hot])
             dealt = RangeHash(block.symbols)(start, start + size).view(np.int64)
             rank = np.r_[rank[~hot], np.repeat(rank[hot], count[hot])]
+            turn = np.r_[turn[~hot], np.full(len(start), -1)]
             first, count = np.r_[first[~hot], start], np.r_[count[~hot], np.ones(len(start), np.int64)]
             anchor, lot = np.r_[anchor[~hot], dealt], np.r_[lot[~hot], dealt % buckets]
         order = np.lexsort((first, lot))
         bounds = np.flatnonzero(np.r_[True, np.diff(lot[order]) != 0, True])
         for a, b in zip(bounds[:-1], bounds[1:]):
             take = order[a:b]
-            head = packed(anchor[take], first[take], count[take], rank[take])
+            head = packed(anchor[take], first[take], count[take], rank[take], turn[take])
             body = b"".join(block.raw[f : f + c + size - 1].tobytes() for f, c in zip(first[take], count[take]))
             yield int(lot[take[0]]), len(head).to_bytes(8, "little") + head + zstandard.compress(body)
 
     return rows
 
 
-def _earlier(size: int):
+def _may_share(raw, anchor, place, lengths, turn, span: int, size: int) -> np.ndarray:
+    """Fragments that agree with another one of their anchor on the half of a window left or right of it.
+
+    What a window has beyond the anchor lies at least half on one side, so others share no window.
+    """
+    half = (size - span + 1) // 2
+    content = RangeHash(BYTE_SYMBOLS[raw])
+    out = turn < 0
+    middle = place + turn
+    for start, end, whole in (
+        (middle - half, middle + span, turn >= half),
+        (middle, middle + span + half, turn + span + half <= lengths),
+    ):
+        rows = np.flatnonzero(whole & (turn >= 0))
+        key = mixed(anchor[rows].astype(np.uint64)) + content(start[rows], end[rows])
+        _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+        out[rows] |= times[which] > 1
+    return out
+
+
+def _earlier(size: int, span: int):
     """Windows of a bucket that a document with a smaller id has."""
 
     def run(key, table):
@@ -127,12 +158,16 @@ def _earlier(size: int):
         heads, bodies = [], []
         for number, data in enumerate(table.column("data").to_pylist()):
             cut_at = 8 + int.from_bytes(data[:8], "little")
-            columns = unpacked(data[8:cut_at], 4)
+            columns = unpacked(data[8:cut_at], 5)
             heads.append((*columns, np.full(len(columns[0]), number)))
             bodies.append(np.frombuffer(zstandard.decompress(data[cut_at:]), np.uint8))
-        anchor, first, count, rank, block = (np.concatenate(c) for c in zip(*heads))
+        anchor, first, count, rank, turn, block = (np.concatenate(c) for c in zip(*heads))
         raw, lengths = np.concatenate(bodies), count + size - 1
         place = np.cumsum(lengths) - lengths
+        likely = np.flatnonzero(_may_share(raw, anchor, place, lengths, turn, span, size))
+        anchor, first, rank, block, lengths, place = (c[likely] for c in (anchor, first, rank, block, lengths, place))
+        if not len(likely):
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.binary())], names=["block", "data"])
         order = np.argsort(anchor, kind="stable")
         filled = np.cumsum(lengths[order])
         new = np.flatnonzero(np.r_[True, anchor[order][1:] != anchor[order][:-1]])
@@ -206,7 +241,7 @@ def cut_earlier_bytes(
     """
     rule = Rule(words=False, size=window, span=anchor, earlier=True)
     blocks = blocks_of(docs, id_col, text_col)
-    gone = repeated(blocks, rule, _strings(window), _earlier(window))
+    gone = repeated(blocks, rule, _strings(window), _earlier(window, anchor))
     return cut(
         blocks, gone, rule, ["id", "n_bytes", "n_removed", "n_spans", "kept"], _kept,
         f"id {id_type(docs, id_col)}, n_bytes long, n_removed long, n_spans long, kept binary",

@@ -17,7 +17,7 @@ SEED = 16
 def _extended(size: int):
     """Every window of the asked fragments: the seed, extended to each split of what is missing left and right."""
 
-    def rows(block, first, count, anchor, rank, hot, buckets: int):
+    def rows(block, first, count, turn, anchor, rank, hot, buckets: int):
         ends = np.cumsum(count)
         start = np.repeat(first, count) + np.arange(ends[-1]) - np.repeat(ends - count, count)
         seed, alone = np.repeat(anchor, count), np.repeat(rank == 0, count)
