@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from .plans import jobs
-from .session import build_session, shared_folder
+from .session import build_session
 from .sources.layers import Lake
 from .streaming.ingest import bundle_queue_stream, ingest_stream
 
@@ -19,10 +19,13 @@ def arguments() -> argparse.ArgumentParser:
     ingest.add_argument("--folders", type=int, default=jobs.BATCH_FOLDERS, help="outer folders per batch")
     ingest.add_argument("--servers", help="queue servers (source kafka)")
     ingest.add_argument("--topic", help="queue topic (source kafka)")
+    ingest.add_argument("--checkpoint", help="folder that keeps the stream's progress between runs (source kafka)")
 
     transform = steps.add_parser("transform", help="build the detail tables of the next batch")
+    transform.add_argument("--database", help="also keep the detail tables in this catalog database")
     model = steps.add_parser("model", help="load the next batch into the star tables")
-    model.add_argument("--url", help="also append the batch to this JDBC database")
+    model.add_argument("--prefix", help="also keep the star tables in catalog databases with this name prefix")
+    model.add_argument("--url", help="also append all batches that are not there yet to this JDBC database")
     model.add_argument("--property", action="append", default=[], metavar="NAME=VALUE", help="JDBC property")
     for step in (ingest, transform, model):
         step.add_argument("--lake", required=True, help="root folder of all layers")
@@ -43,22 +46,21 @@ def main(argv: list[str] | None = None) -> int | None:
         return jobs.extract_images(spark, options.input, options.table, options.pixels)
     lake = Lake(options.lake)
     if options.step == "ingest" and options.source == "kafka":
-        if not (options.servers and options.topic):
-            parser.error("--servers and --topic are needed for source kafka")
+        if not (options.servers and options.topic and options.checkpoint):
+            parser.error("--servers, --topic and --checkpoint are needed for source kafka")
         stream = bundle_queue_stream(spark, options.servers, options.topic)
-        progress = f"{shared_folder(spark)}/chartweave-{options.topic}"
-        ingest_stream(spark, stream, lake, progress, options.source)
+        ingest_stream(spark, stream, lake, options.checkpoint, options.source)
         return None
     if options.step == "ingest":
         if not options.input:
             parser.error("--input is needed for source local")
         return jobs.ingest(spark, lake, options.input, options.source, options.folders)
     if options.step == "transform":
-        return jobs.transform(spark, lake, options.source)
-    batch_id = jobs.model(spark, lake, options.source)
-    if batch_id is not None and options.url:
+        return jobs.transform(spark, lake, options.source, options.database)
+    batch_id = jobs.model(spark, lake, options.source, options.prefix)
+    if options.url:
         properties = dict(p.split("=", 1) for p in options.property)
-        jobs.export(spark, lake, batch_id, options.url, properties, options.source)
+        jobs.export(spark, lake, options.url, properties, options.source)
     return batch_id
 
 

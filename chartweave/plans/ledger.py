@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import LEDGER_DDL
 
-LAYERS = ("bronze", "silver", "gold")
+LAYERS = ("bronze", "silver", "gold", "export")
+FOLDERS_DDL = "batch_id INT, source STRING, outer STRING"
+REJECTS_DDL = "batch_id INT, source STRING, n_rejected BIGINT"
 FIRST_BATCH = 0
 
 
@@ -53,6 +55,34 @@ class Ledger:
             raise ValueError(f"unknown layer {layer!r}, expected one of {LAYERS}")
         return f"{self.root}/ledger/{layer}"
 
+    def _table(self, name: str, ddl: str) -> DataFrame:
+        path = f"{self.root}/ledger/{name}"
+        self.spark.createDataFrame([], ddl).write.mode("ignore").parquet(path)
+        return self.spark.read.schema(ddl).parquet(path)
+
+    def folders(self, source: str) -> DataFrame:
+        """``(batch_id, source, outer)``: the folders that batches of the source have taken."""
+        return of_source(self._table("folders", FOLDERS_DDL), source)
+
+    def take_folders(self, batch_id: int, source: str, names: list[str]) -> None:
+        """Written before a batch is loaded, so a batch that is run again loads the same folders."""
+        rows = self.spark.createDataFrame([(batch_id, source, name) for name in names], FOLDERS_DDL)
+        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/ledger/folders")
+
+    def rejects(self, source: str) -> DataFrame:
+        """``(batch_id, source, n_rejected)`` of the batches that left bundles out."""
+        return of_source(self._table("rejects", REJECTS_DDL), source)
+
+    def record_rejects(self, batch_id: int, source: str, n: int) -> None:
+        known = self.rejects(source).where(F.col("batch_id") == batch_id)
+        if n and known.isEmpty():
+            row = self.spark.createDataFrame([(batch_id, source, n)], REJECTS_DDL)
+            row.coalesce(1).write.mode("append").parquet(f"{self.root}/ledger/rejects")
+
+    def next_load(self) -> int:
+        """Sequence number of the next load of the star tables, shared by all sources."""
+        return self.read("gold").count() + 1
+
     def create(self, layer: str) -> None:
         """Write an empty table where there is none; an existing one stays as it is."""
         self.spark.createDataFrame([], LEDGER_DDL).write.mode("ignore").parquet(self.path(layer))

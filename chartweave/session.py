@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +29,30 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="chartweave-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder, or a local one where the session names none (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="chartweave-")
+    """The folder in ``spark.checkpoint.dir``, which the driver and all executors share.
+
+    Only a local session, whose executors are the driver itself, may go without one.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _local_folder()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new name below the shared folder; what is written there goes when the driver ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/chartweave-{uuid.uuid4().hex}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path.getParent())
+    files.deleteOnExit(path)
+    return path.toString()

@@ -9,48 +9,77 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.star import LOAD
 from ..sources.layers import Lake
 
 ROWS_PER_FILE = 5_000_000
 
 
-def write_bronze(entries: DataFrame, lake: Lake, source: str, batch_id: int) -> None:
-    """Entries by resource type. The rebalance step lets AQE split a type that holds most of the rows and
-    join up the small ones, so files come out even without a fixed file count."""
-    (
-        entries.hint("rebalance", "resource_type")
-        .write.mode("overwrite")
-        .partitionBy("resource_type")
-        .parquet(Lake.batch(lake.bronze(source), batch_id))
-    )
+def write_bronze(entries: DataFrame, lake: Lake, source: str, batch_id: int | None = None) -> None:
+    """Entries by resource type, written from the scan: no shuffle, a file per task and type.
 
+    Without ``batch_id`` the rows name their batches in a column of that name.
+    """
+    _write(entries, lake.bronze(source), batch_id, "resource_type")
 
-def _batch_folder(root: str, source: str, batch_id: int) -> str:
-    return Lake.batch(f"{root}/source={source}", batch_id)
 
+def write_rejects(rows: DataFrame, lake: Lake, source: str, batch_id: int) -> int:
+    """The batch's broken bundles as text beside it; returns their number."""
+    folder = Lake.batch(lake.rejects(source), batch_id)
+    rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder).count()
 
-def write_detail(rows: DataFrame, lake: Lake, name: str, source: str, batch_id: int) -> None:
-    _write(rows, _batch_folder(lake.detail(name), source, batch_id))
 
+def write_detail(rows: DataFrame, lake: Lake, name: str, source: str, batch_id: int | None = None) -> None:
+    _write(rows, f"{lake.detail(name)}/source={source}", batch_id)
 
-def write_star(rows: DataFrame, lake: Lake, table, source: str, batch_id: int) -> None:
-    _write(rows, _batch_folder(lake.star(table), source, batch_id))
 
+def write_star(
+    rows: DataFrame, lake: Lake, table, source: str, batch_id: int | None = None, sequence: int | None = None
+) -> None:
+    """A batch's rows with the sequence number of its load, which orders the loads of all sources.
 
-def _write(rows: DataFrame, folder: str) -> None:
-    rows.drop("batch_id").write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(folder)
+    Without ``sequence`` the rows' batch id takes its place.
+    """
+    number = F.col("batch_id") if sequence is None else F.lit(sequence)
+    if sequence is None and "batch_id" not in rows.columns:
+        number = F.lit(batch_id)
+    _write(rows.withColumn(LOAD, number.cast("bigint")), f"{lake.star(table)}/source={source}", batch_id)
 
 
-def save_detail_table(rows: DataFrame, name: str, batch_id: int, file_format: str = "orc") -> None:
-    """Add one batch to a catalog table that is split by batch, replacing that batch if it is there."""
+def _write(rows: DataFrame, folder: str, batch_id: int | None, *parts: str) -> None:
+    writer = rows if batch_id is None else rows.drop("batch_id")
+    writer = writer.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
+    if batch_id is None:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+        parts = ("batch_id", *parts)
+    else:
+        folder = Lake.batch(folder, batch_id)
+    (writer.partitionBy(*parts) if parts else writer).parquet(folder)
+
+
+def save_detail_table(
+    rows: DataFrame, name: str, batch_id: int, file_format: str = "orc", source: str | None = None
+) -> None:
+    """Add one batch to a catalog table that is split by batch, replacing that batch if it is there.
+
+    With ``source`` the table is split by source and batch.
+    """
     spark = rows.sparkSession
+    parts = {"batch_id": str(int(batch_id))} if source is None else {"source": f"'{source}'", "batch_id": str(int(batch_id))}
+    plain = rows.drop(*parts)
     if not spark.catalog.tableExists(name):
-        marked = rows.drop("batch_id").withColumn("batch_id", F.lit(batch_id))
-        marked.write.format(file_format).partitionBy("batch_id").saveAsTable(name)
+        marked = plain
+        if source is not None:
+            marked = marked.withColumn("source", F.lit(source))
+        marked = marked.withColumn("batch_id", F.lit(batch_id))
+        marked.write.format(file_format).partitionBy(*parts).saveAsTable(name)
         return
-    in_order = rows.select(*[c for c in spark.table(name).columns if c != "batch_id"])
-    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (batch_id = {int(batch_id)}) SELECT * FROM {{rows}}", rows=in_order)
+    in_order = plain.select(*[c for c in spark.table(name).columns if c not in parts])
+    where = ", ".join(f"{column} = {value}" for column, value in parts.items())
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({where}) SELECT * FROM {{rows}}", rows=in_order)
 
 
-def save_image_table(metadata: DataFrame, name: str = "image_data") -> None:
-    metadata.write.mode("overwrite").format("parquet").saveAsTable(name)
+def save_image_table(metadata: DataFrame, name: str = "image_data", location: str | None = None) -> None:
+    writer = metadata.write.mode("overwrite").format("parquet")
+    (writer.option("path", location) if location else writer).saveAsTable(name)

@@ -8,9 +8,29 @@ from pyspark.sql import functions as F
 from ..schemas import BUNDLE_DDL
 
 
+BROKEN = "_broken"
+
+
 def read_bundles(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
-    """Bundle files with the fixed schema: no inference pass, and the same columns in every batch."""
-    return spark.read.schema(BUNDLE_DDL).option("multiLine", multi_line).json(paths)
+    """Bundle files with the fixed schema: no inference pass, and the same columns in every batch.
+
+    A text that does not parse, or has a field of another type, is kept whole in ``_broken``.
+    """
+    reader = spark.read.schema(f"{BUNDLE_DDL}, {BROKEN} STRING").option("columnNameOfCorruptRecord", BROKEN)
+    return reader.option("multiLine", multi_line).json(paths)
+
+
+def whole_bundles(bundles: DataFrame) -> DataFrame:
+    return bundles.where(F.col(BROKEN).isNull()).drop(BROKEN)
+
+
+def rejected_bundles(bundles: DataFrame) -> DataFrame:
+    """``(path, n_entries, text)`` of the bundles that can't be loaded as they are."""
+    return bundles.where(F.col(BROKEN).isNotNull()).select(
+        F.input_file_name().alias("path"),
+        F.coalesce(F.size("entry"), F.lit(0)).alias("n_entries"),  # entries that could be read
+        F.col(BROKEN).alias("text"),
+    )
 
 
 def read_json_inferred(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
@@ -29,7 +49,9 @@ def schema_rows(df: DataFrame) -> DataFrame:
 
 def parse_bundles(texts: DataFrame, name: str = "value") -> DataFrame:
     """Bundles that arrive as text, one per row (a message queue, a line-delimited file)."""
-    return texts.select(F.from_json(F.col(name).cast("string"), BUNDLE_DDL).alias("bundle")).select("bundle.entry")
+    text = F.col(name).cast("string")
+    bundle = F.from_json(text, f"{BUNDLE_DDL}, {BROKEN} STRING", {"columnNameOfCorruptRecord": BROKEN})
+    return texts.select(bundle.alias("bundle")).select("bundle.entry", f"bundle.{BROKEN}")
 
 
 def bundle_entries(bundles: DataFrame) -> DataFrame:

@@ -55,20 +55,42 @@ def sorted_position(values: DataFrame, name: str) -> DataFrame:
     return placed.join(offsets, "_part").select(name, (F.col("_offset") + F.col("_place")).alias("position"))
 
 
-def folder_batches(files: DataFrame, folder: str, folders_per_batch: int = BATCH_FOLDERS) -> DataFrame:
-    """``(batch_id, outer)``: each batch takes the next group of outer folders, the last may be smaller."""
-    outer = files.select(outer_folder(F.col("path"), folder).alias("outer"))
-    batch = F.floor(F.col("position") / folders_per_batch).cast("int")
-    return sorted_position(outer, "outer").select(batch.alias("batch_id"), "outer")
+def folder_batches(
+    outer: DataFrame, folders_per_batch: int = BATCH_FOLDERS, taken: DataFrame | None = None, first: int = 0
+) -> DataFrame:
+    """``(batch_id, outer)``: batches of the folders that none has ``taken`` yet, in name order from ``first``.
+
+    Whatever the names of folders that arrive later, each is in exactly one batch. The last may be smaller.
+    """
+    waiting = outer.select("outer") if taken is None else outer.join(taken.select("outer"), "outer", "left_anti")
+    batch = F.lit(first) + F.floor(F.col("position") / folders_per_batch)
+    return sorted_position(waiting, "outer").select(batch.cast("int").alias("batch_id"), "outer")
 
 
 def batch_files(files: DataFrame, folder: str, folders_per_batch: int = BATCH_FOLDERS) -> DataFrame:
     """``(batch_id, path)`` of all files."""
     placed = files.select("path", outer_folder(F.col("path"), folder).alias("outer"))
-    return placed.join(folder_batches(files, folder, folders_per_batch), "outer").select("batch_id", "path")
+    return placed.join(folder_batches(placed.select("outer"), folders_per_batch), "outer").select("batch_id", "path")
+
+
+def list_outer(spark: SparkSession, folder: str) -> DataFrame:
+    """The folders right below ``folder``; nothing deeper is listed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [(status.getPath().getName(),) for status in found if status.isDirectory()]
+    return spark.createDataFrame(names, "outer STRING")
+
+
+def next_folders(outer: DataFrame, taken: DataFrame, folders_per_batch: int = BATCH_FOLDERS) -> list[str]:
+    """The first folders by name that none has taken; at most one batch's names reach the driver."""
+    waiting = outer.join(taken.select("outer"), "outer", "left_anti").orderBy("outer").limit(folders_per_batch)
+    return [row["outer"] for row in waiting.collect()]
+
+
+def batch_globs(names: list[str], folder: str) -> list[str]:
+    """Reader patterns of the files two levels below ``folder`` in the named folders."""
 
+    def plain(text: str) -> str:
+        return re.sub(GLOB_CHARACTERS, lambda m: chr(92) + m[0], text)
 
-def batch_globs(batches: DataFrame, folder: str, batch_id: int) -> list[str]:
-    """Reader patterns of one batch. Only its folder names (at most ``folders_per_batch``) reach the driver."""
-    names = [row["outer"] for row in batches.where(F.col("batch_id") == batch_id).select("outer").collect()]
-    return [f"{folder.rstrip('/')}/{re.sub(GLOB_CHARACTERS, lambda m: chr(92) + m[0], name)}/*/*" for name in sorted(names)]
+    return [f"{plain(folder.rstrip('/'))}/{plain(name)}/*/*.json" for name in sorted(names)]

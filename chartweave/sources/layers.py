@@ -21,6 +21,9 @@ class Lake:
     def bronze(self, source: str) -> str:
         return f"{self.root}/bronze/{source}"
 
+    def rejects(self, source: str) -> str:
+        return f"{self.root}/rejects/{source}"
+
     def detail(self, name: str) -> str:
         return f"{self.root}/silver/{name}"
 
@@ -35,22 +38,29 @@ class Lake:
 def read_bronze(spark: SparkSession, lake: Lake, source: str, batch_id: int | None = None) -> DataFrame:
     """``(batch_id, resource_type, data)``; the first two are folder names, so filters on them prune files."""
     schema = f"data {RESOURCE_DDL}, batch_id INT, resource_type STRING"
-    rows = spark.read.schema(schema).parquet(lake.bronze(source)).select("batch_id", "resource_type", "data")
+    folder = lake.bronze(source)
+    reader = spark.read.schema(schema).option("basePath", folder)
+    path = folder if batch_id is None else lake.batch(folder, batch_id)  # only this batch is listed
+    rows = reader.parquet(path).select("batch_id", "resource_type", "data")
     return rows if batch_id is None else rows.where(rows.batch_id == batch_id)
 
 
-def read_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """All batches of a table with ``source`` and ``batch_id`` from the folder names."""
-    return spark.read.option("basePath", folder).parquet(folder)
+def read_batches(spark: SparkSession, folder: str, source: str | None = None, batch_id: int | None = None) -> DataFrame:
+    """Batches of a table with ``source`` and ``batch_id`` from the folder names.
+
+    With both given only that batch's folder is listed, however long the history is.
+    """
+    path = folder if source is None else f"{folder}/source={source}"
+    if source is not None and batch_id is not None:
+        path = Lake.batch(path, batch_id)
+    return spark.read.option("basePath", folder).option("mergeSchema", False).parquet(path)
 
 
 def read_detail(
     spark: SparkSession, lake: Lake, name: str, source: str | None = None, batch_id: int | None = None
 ) -> DataFrame:
-    rows = read_batches(spark, lake.detail(name))
-    if source is not None:
-        rows = rows.where(rows.source == source)
-    if batch_id is not None:
+    rows = read_batches(spark, lake.detail(name), source, batch_id)
+    if source is None and batch_id is not None:
         rows = rows.where(rows.batch_id == batch_id)
     return rows.drop("source")
 

@@ -12,8 +12,8 @@ from ..plans.details import build
 from ..plans.ledger import Ledger
 from ..plans.star import STAR, load_rows
 from ..schemas import BUNDLE_DDL
-from ..sinks.layers import write_bronze, write_star
-from ..sources.bundles import bundle_entries, parse_bundles
+from ..sinks.layers import write_bronze, write_rejects, write_star
+from ..sources.bundles import BROKEN, bundle_entries, parse_bundles, rejected_bundles, whole_bundles
 from ..sources.layers import Lake
 
 SOURCE = "stream"
@@ -21,15 +21,20 @@ SOURCE = "stream"
 
 def bundle_file_stream(spark: SparkSession, folder: str, multi_line: bool = True, files_per_batch: int | None = None):
     """New bundle files below a folder."""
-    reader = spark.readStream.schema(BUNDLE_DDL).option("multiLine", multi_line).option("recursiveFileLookup", True)
+    reader = spark.readStream.schema(f"{BUNDLE_DDL}, {BROKEN} STRING").option("columnNameOfCorruptRecord", BROKEN)
+    reader = reader.option("multiLine", multi_line).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(folder)
 
 
 def bundle_queue_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Bundles as queue messages, one per message (needs the queue connector on the class path)."""
+    """Bundles as queue messages, one per message (needs the queue connector on the class path).
+
+    A new stream starts with the oldest message the queue holds; later runs go on from their checkpoint.
+    """
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    reader = reader.option("startingOffsets", "earliest")
     return parse_bundles(reader.load(), "value")
 
 
@@ -46,11 +51,15 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
 
 
 def ingest_stream(spark: SparkSession, bundles: DataFrame, lake: Lake, checkpoint: str, source: str = SOURCE):
-    """Each micro-batch becomes the bronze batch of its epoch number. A replayed epoch overwrites itself."""
+    """Each micro-batch becomes the bronze batch of its epoch number. A replayed epoch overwrites itself.
+
+    Bundles that can't be read go to the epoch's reject folder, and the ledger counts them.
+    """
     ledger = Ledger(spark, lake.root)
 
     def each(batch: DataFrame, epoch: int) -> None:
-        write_bronze(bundle_entries(batch), lake, source, epoch)
+        write_bronze(bundle_entries(whole_bundles(batch)), lake, source, epoch)
+        ledger.record_rejects(epoch, source, write_rejects(rejected_bundles(batch), lake, source, epoch))
         ledger.record("bronze", epoch, source)
 
     return run_available(bundles, checkpoint, each)
@@ -69,10 +78,13 @@ def upsert_stream(
         bronze = batch.withColumn("batch_id", F.lit(epoch).cast("int"))
         if len(tables) > 1:
             bronze.persist()  # parse the micro-batch once for all tables
-        for name in tables:
-            table = STAR[name]
-            write_star(load_rows(build(table.source, bronze), table), lake, table, source, epoch)
-        bronze.unpersist()
+        sequence = ledger.next_load()
+        try:
+            for name in tables:
+                table = STAR[name]
+                write_star(load_rows(build(table.source, bronze), table), lake, table, source, epoch, sequence)
+        finally:
+            bronze.unpersist()
         ledger.record("gold", epoch, source)
 
     return run_available(entries, checkpoint, each)

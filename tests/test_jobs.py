@@ -7,7 +7,7 @@ import json
 import pytest
 
 from chartweave.__main__ import main
-from chartweave.plans.jobs import batch_rows, ingest, merged_with, model, transform
+from chartweave.plans.jobs import batch_rows, export, ingest, merged_with, model, transform
 from chartweave.plans.ledger import Ledger
 from chartweave.plans.star import STAR, create_star_tables, load_rows
 from chartweave.sinks.layers import save_detail_table, save_image_table, write_star
@@ -163,3 +163,124 @@ def test_catalog_tables_replace_a_batch(spark, tmp_path):
     save_image_table(frame, "details.images")
     assert spark.table("details.images").count() == 2
     spark.sql("DROP DATABASE details CASCADE")
+
+
+def put(root, outer: str, number: int, text: str | None = None):
+    inner = root / outer / "000"
+    inner.mkdir(parents=True, exist_ok=True)
+    (inner / f"b{number}.json").write_text(text or json.dumps(bundle(number, f"n{number}"), indent=2))
+
+
+def test_folders_that_arrive_late_or_sort_earlier_are_loaded_once(spark, tmp_path):
+    root, lake = tmp_path / "input", Lake(str(tmp_path / "lake"))
+    for n in range(10, 20):
+        put(root, f"f{n}", n)
+    assert [ingest(spark, lake, str(root)) for _ in range(3)] == [0, 1, None]
+    for n in range(6):
+        put(root, f"{'a' if n % 2 else 'z'}{n}", n)
+    assert [ingest(spark, lake, str(root)) for _ in range(2)] == [2, None]
+    ids = read_bronze(spark, lake, "local").where("resource_type = 'Patient'").select("data.id")
+    assert sorted(r.id for r in ids.collect()) == sorted(f"p{n}" for n in [*range(6), *range(10, 20)])
+    taken = rows(Ledger(spark, lake.root).folders("local"), "batch_id", "outer")
+    assert len(taken) == len({outer for _, outer in taken}) == 16
+
+
+def test_a_batch_that_failed_takes_the_same_folders_again(spark, tmp_path):
+    root, lake = tmp_path / "input", Lake(str(tmp_path / "lake"))
+    put(root, "m", 1)
+    ledger = Ledger(spark, lake.root)
+    ledger.next_id("local")
+    ledger.take_folders(0, "local", ["m"])  # and then the job was lost
+    put(root, "a", 2)
+    assert [ingest(spark, lake, str(root), folders_per_batch=1) for _ in range(3)] == [0, 1, None]
+    patients = read_bronze(spark, lake, "local").where("resource_type = 'Patient'")
+    assert rows(patients, "batch_id", "data.id") == [(0, "p1"), (1, "p2")]
+
+
+def test_broken_bundles_are_kept_and_counted(spark, tmp_path):
+    root, lake = tmp_path / "input", Lake(str(tmp_path / "lake"))
+    put(root, "a", 1)
+    put(root, "a", 2, json.dumps(bundle(2, "n"))[:-30])
+    put(root, "a", 3, '{"resourceType": "Bundle", "entry": "none"}')
+    assert ingest(spark, lake, str(root)) == 0
+    assert rows(read_bronze(spark, lake, "local").where("resource_type = 'Patient'"), "data.id") == [("p1",)]
+    assert rows(Ledger(spark, lake.root).rejects("local")) == [(0, "local", 2)]
+    kept = spark.read.parquet(lake.batch(lake.rejects("local"), 0))
+    assert [p.rsplit("/", 1)[1] for p, in rows(kept, "path")] == ["b2.json", "b3.json"]
+    assert any('"entry": "none"' in t for t, in rows(kept, "text"))
+
+
+def test_the_later_load_wins_across_sources(spark, tmp_path):
+    lake, ledger = Lake(str(tmp_path / "lake")), Ledger(spark, str(tmp_path / "lake"))
+    table = STAR["dim_encounter_type"]
+    ddl = "encounter_type_key STRING, encounter_type_name STRING"
+
+    def load(source, batch_id, name):
+        rows_ = spark.createDataFrame([("k", name)], ddl)
+        write_star(rows_, lake, table, source, batch_id, ledger.next_load())
+        ledger.record("gold", batch_id, source)
+
+    load("local", 5, "old")
+    load("stream", 0, "new")
+    assert rows(read_star(spark, lake, table)) == [("k", "new")]
+    load("local", 6, "newest")
+    assert rows(read_star(spark, lake, table)) == [("k", "newest")]
+
+
+def test_failed_exports_are_sent_again(spark, tmp_path):
+    root, lake = tmp_path / "input", Lake(str(tmp_path / "lake"))
+    put(root, "a", 1)
+    ingest(spark, lake, str(root)), transform(spark, lake), model(spark, lake)
+    sent, broken = [], {"on": True}
+
+    def send(frame, url, name, properties):
+        if broken["on"] and name.endswith("fact_careplan"):
+            raise ConnectionError("gone")
+        sent.append((name, frame.count()))
+
+    with pytest.raises(ConnectionError):
+        export(spark, lake, "jdbc:x", {}, send=send)
+    broken["on"] = False
+    sent.clear()
+    assert export(spark, lake, "jdbc:x", {}, send=send) == [0]
+    assert len(sent) == 30 and ("patient.dim_patient", 1) in sent
+    assert export(spark, lake, "jdbc:x", {}, send=send) == []
+
+
+def test_jobs_keep_catalog_tables(spark, tmp_path):
+    root, lake = tmp_path / "input", Lake(str(tmp_path / "lake"))
+    put(root, "a", 1)
+    put(root, "b", 2)
+    spark.sql(f"CREATE DATABASE silver_cat LOCATION '{tmp_path}/silver_cat'")
+    for group in ("patient", "encounter", "clinical", "care"):
+        spark.sql(f"CREATE DATABASE cat_{group} LOCATION '{tmp_path}/cat_{group}'")
+    for _ in range(2):
+        ingest(spark, lake, str(root), folders_per_batch=1)
+        transform(spark, lake, database="silver_cat")
+        model(spark, lake, prefix="cat_")
+    assert rows(spark.sql("SELECT batch_id, patient_id FROM silver_cat.patient")) == [(0, "p1"), (1, "p2")]
+    assert rows(spark.sql("SELECT patient_key FROM cat_patient.dim_patient")) == [("p1",), ("p2",)]
+    for name in ("silver_cat", *(f"cat_{g}" for g in ("patient", "encounter", "clinical", "care"))):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_shared_folder(spark, monkeypatch):
+    from chartweave import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        session.shared_folder(Session())
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError):
+        session.shared_folder(Session())
+    Context.master = "local[2]"
+    assert session.shared_folder(Session()) == session.shared_folder(Session())
