@@ -39,16 +39,24 @@ OTHER = "Other"
 
 def lower_contains(text: ColumnLike, keywords: list[str]) -> Column:
     """True when the lower-cased text holds any of the keywords."""
-    lowered = F.lower(column(text))
-    return reduce(lambda a, b: a | b, (lowered.contains(word) for word in keywords))
+    return contains_any(F.lower(column(text)), keywords)
+
+
+def contains_any(text: Column, keywords: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, (text.contains(word) for word in keywords))
 
 
 def categorize_keywords(text: ColumnLike, rules: dict[str, list[str]], default: str = OTHER) -> Column:
     """First rule with a keyword inside the text; text that matches none, or is NULL, gets the default."""
-    choice = F
-    for label, keywords in rules.items():
-        choice = choice.when(lower_contains(text, keywords), F.lit(label))
-    return choice.otherwise(F.lit(default))
+
+    def chosen(lowered: Column) -> Column:
+        choice = F
+        for label, keywords in rules.items():
+            choice = choice.when(contains_any(lowered, keywords), F.lit(label))
+        return choice.otherwise(F.lit(default))
+
+    # a lambda's argument is computed once, however many tests use it
+    return F.get(F.transform(F.array(F.lower(column(text))), chosen), F.lit(0))
 
 
 def condition_category(display: ColumnLike) -> Column:

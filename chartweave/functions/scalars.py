@@ -9,7 +9,7 @@ ColumnLike = Column | str
 
 # Formats of the date and time text in the records.
 DATE_FORMAT = "yyyy-MM-dd"
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX"
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
 LABEL_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -62,8 +62,15 @@ def parse_date(text: ColumnLike) -> Column:
 
 
 def parse_timestamp(text: ColumnLike) -> Column:
-    """Instant of a text with zone offset, with or without a fraction; NULL when it does not parse."""
-    return F.try_to_timestamp(column(text), F.lit(TIMESTAMP_FORMAT))
+    """Instant of a text with zone offset and a fraction of up to nine digits; NULL when it does not parse.
+
+    Digits beyond microseconds are cut off.
+    """
+    raw = column(text)
+    digits = F.regexp_extract(raw, r"^[^.]*\.([0-9]{1,9})[^0-9]", 1)
+    whole = F.regexp_replace(raw, r"^([^.]*)\.[0-9]{1,9}([^0-9])", "$1.#$2")
+    micros = F.rpad(F.substring(digits, 1, 6), 6, "0")
+    return F.try_to_timestamp(F.when(digits == "", raw).otherwise(F.replace(whole, F.lit("#"), micros)), F.lit(TIMESTAMP_FORMAT))
 
 
 def struct_from_json(text: ColumnLike, ddl: str) -> Column:

@@ -27,25 +27,34 @@ def _counted(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
 
 
-def one_per_key(df: DataFrame, *keys: str) -> DataFrame:
-    """One row per key: the one with the smallest remaining columns, so reruns agree."""
+def one_per_key(df: DataFrame, *keys: str, repeats: bool = True) -> DataFrame:
+    """One row per key: the one with the smallest remaining columns, so reruns agree.
+
+    ``repeats=False`` says that rows are nearly unique: they are not counted together first.
+    """
     rest = [c for c in df.columns if c not in keys]
-    smallest = (
-        _counted(df)
-        .groupBy(*keys)
-        .agg(F.min(F.struct(*rest)).alias("_row"), F.sum("_n").alias("_n"))
-        .where(F.col("_n") > 0)
-    )
+    if repeats:
+        grouped = _counted(df).groupBy(*keys)
+        smallest = grouped.agg(F.min(F.struct(*rest)).alias("_row"), F.sum("_n").alias("_n")).where(F.col("_n") > 0)
+    else:
+        smallest = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
     return smallest.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def latest_per_key(
-    df: DataFrame, keys: list[str], order: list[str], keep_first: tuple[str, ...] = (), repeats: bool = False
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    keep_first: tuple[str, ...] = (),
+    repeats: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Last row per key by ``order`` (ties: largest remaining columns). NULLs overwrite like values.
 
     Columns in ``keep_first`` take the value of the first row instead. ``order`` columns are not returned.
     ``repeats`` says that most rows are copies of others (code tables), so they are counted together first.
+    ``unique`` says that a key has few rows (facts): they are shuffled and sorted once, without reducing them
+    on the map side first, where nothing would be reduced.
     Rows without a key have no place in a keyed table; see :func:`rows_without_key`.
     """
     payload = [c for c in df.columns if c not in (*keys, *order)]
@@ -57,7 +66,7 @@ def latest_per_key(
     if repeats:
         merged = _counted(rows).groupBy(*keys).agg(*aggregates, F.sum("_n").alias("_n")).where(F.col("_n") > 0)
     else:
-        merged = rows.groupBy(*keys).agg(*aggregates)
+        merged = (rows.repartition(*keys) if unique else rows).groupBy(*keys).agg(*aggregates)
 
     def pick(name: str):
         if name in keys:

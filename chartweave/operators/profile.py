@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, StringType, StructType
 
 from ..functions.scalars import first_of, url_tail
 
 
 def value_counts(df: DataFrame, name: str, top: int | None = None) -> DataFrame:
     """Frequency of each non-NULL value, most frequent first; ``top`` keeps the head of the report."""
-    counts = df.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("n"))
-    if top is None:
-        return counts
-    return counts.orderBy(F.desc("n"), name).limit(top)
+    counts = df.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("n")).orderBy(F.desc("n"), name)
+    return counts if top is None else counts.limit(top)
 
 
 def unique_values(df: DataFrame, name: str) -> DataFrame:
@@ -48,7 +46,7 @@ def prune_all_frames(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def convert_dtypes(df: DataFrame) -> DataFrame:
     """Cast text and floating columns to the narrowest type that keeps every value.
 
-    One aggregate over the table counts, per column and candidate type, the values that survive the cast;
+    Text is cast only if casting back gives the same text for every value, so leading zeros stay. One aggregate over the table counts, per column and candidate type, the values that survive the cast;
     only that single row of counts reaches the driver.
     """
     tests: dict[tuple[str, str], Column] = {}
@@ -56,7 +54,7 @@ def convert_dtypes(df: DataFrame) -> DataFrame:
         value = F.col(f"`{field.name}`")
         if isinstance(field.dataType, StringType):
             for kind in ("bigint", "double", "boolean"):
-                tests[field.name, kind] = value.isNotNull() & value.try_cast(kind).isNull()
+                tests[field.name, kind] = value.isNotNull() & ~value.try_cast(kind).cast("string").eqNullSafe(value)
         elif isinstance(field.dataType, (DoubleType, FloatType)):
             whole = value.try_cast("bigint")
             tests[field.name, "bigint"] = value.isNotNull() & (whole.isNull() | (whole.cast("double") != value))
@@ -77,11 +75,29 @@ def convert_dtypes(df: DataFrame) -> DataFrame:
     )
 
 
-def typed_extension_columns(df: DataFrame, extensions: Column, value: str, names: list[str]) -> DataFrame:
-    """A column per extension name (the tail of its url) that holds the extension's value."""
+def typed_extension_columns(
+    df: DataFrame, extensions: Column, value: str | None = None, names: list[str] | None = None
+) -> DataFrame:
+    """A column per extension name (the tail of its url) that holds the extension's value.
+
+    ``value`` names one value field, whose type is kept; without it, the first filled ``value...`` field counts, as
+    text (structs and lists as JSON). Without ``names``, the names come from a pass over the data.
+    """
+    kind = df.select(extensions.alias("e")).schema["e"].dataType.elementType
+    fields = [value] if value else [f.name for f in kind.fields if f.name.startswith("value")]
+
+    def as_text(ext: Column, name: str) -> Column:
+        nested = isinstance(kind[name].dataType, (ArrayType, StructType))
+        return F.to_json(ext[name]) if nested else ext[name].cast("string")
+
+    def content(ext: Column) -> Column:
+        return ext[value] if value else F.coalesce(*[as_text(ext, name) for name in fields])
 
     def found(name: str) -> Column:
         hits = F.filter(extensions, lambda ext: url_tail(ext["url"]) == name)
-        return first_of(F.transform(hits, lambda ext: ext[value]))
+        return first_of(F.transform(hits, content))
 
+    if names is None:  # as many as the result has columns
+        tails = df.select(F.explode(F.transform(extensions, lambda ext: url_tail(ext["url"]))).alias("name"))
+        names = sorted(r["name"] for r in tails.where("name <> ''").distinct().collect())
     return df.withColumns({name: found(name) for name in names})

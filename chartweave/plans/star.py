@@ -16,6 +16,9 @@ from ..functions import parse_date, parse_timestamp
 from ..operators.keyed import dedupe_full_row, latest_per_key
 from .details.registry import BATCH
 
+#: column of stored star rows: the number of the load among those of all sources
+LOAD = "load_sequence"
+
 
 @dataclass(frozen=True)
 class Field:
@@ -87,6 +90,7 @@ class StarTable:
         return ", ".join(f"{c} {f.type.upper()}" for c, f in self.fields.items())
 
 
+# The names of tables, columns and keys below are those of the published star schema.
 STAR: dict[str, StarTable] = {}
 
 
@@ -291,8 +295,11 @@ def current_rows(loaded: DataFrame, table: StarTable) -> DataFrame:
     """The table as readers see it: merged by key over all batches, or all appended rows."""
     if table.key is None:
         return loaded.select(*table.columns)
-    rows = loaded.select(BATCH, *table.columns)
-    return latest_per_key(rows, [table.key], [BATCH], table.keep_first, repeats=table.is_code_table)
+    order = [LOAD, BATCH] if LOAD in loaded.columns else [BATCH]
+    rows = loaded.select(*order, *table.columns)
+    return latest_per_key(
+        rows, [table.key], order, table.keep_first, repeats=table.is_code_table, unique=table.name.startswith("fact_")
+    )
 
 
 def star_table(details: DataFrame, table: StarTable) -> DataFrame:

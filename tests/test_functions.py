@@ -127,3 +127,19 @@ def test_multiple_birth(spark):
 
 def test_epoch_label(spark):
     assert one(spark, 0, "BIGINT", epoch_label) == "1970-01-01 00:00:00"
+
+
+def test_fractions_of_a_second(spark):
+    import datetime as d
+
+    from chartweave.functions import parse_timestamp
+
+    texts = {
+        "2020-01-01T00:00:00.1Z": 100_000, "2020-01-01T00:00:00.123456Z": 123_456, "2020-01-01T00:00:00.123456789+00:00": 123_456,
+        "2020-01-01T02:00:00.050+02:00": 50_000, "2020-01-01T00:00:00Z": 0,
+    }
+    frame = spark.createDataFrame([(t,) for t in [*texts, "2020-01-01T00:00:00.Z", "2020-01-01T00:00:00.1234567890Z", None]], "t STRING")
+    shown = {r[0]: r[1] for r in frame.select("t", (parse_timestamp("t").cast("double") * 1e6).alias("m")).collect()}
+    start = d.datetime(2020, 1, 1, tzinfo=d.timezone.utc).timestamp() * 1e6
+    assert all(round(shown[t] - start) == micros for t, micros in texts.items())
+    assert shown["2020-01-01T00:00:00.Z"] is None and shown["2020-01-01T00:00:00.1234567890Z"] is None and shown[None] is None

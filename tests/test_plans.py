@@ -57,3 +57,14 @@ def test_codes_are_reduced_before_the_shuffle(stored):
     assert "HashAggregate" in below
     merged = plan(star_table(build("condition_code", stored), STAR["dim_condition_code"]))
     assert "Window" not in merged and "HashAggregate" in merged
+
+
+def test_facts_are_shuffled_and_sorted_once(stored):
+    text = plan(star_table(build("observation", stored), STAR["fact_observation"]))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count(" Sort [") <= 1
+
+
+def test_bronze_is_written_from_the_scan(spark):
+    rows = bronze(Tables(spark, DATA), "Observation", "Condition")
+    assert "Exchange" not in plan(rows)

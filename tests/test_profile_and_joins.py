@@ -30,11 +30,11 @@ def test_profile_and_prune(spark):
 
 def test_convert_dtypes(spark):
     df = spark.createDataFrame(
-        [("1", "1.5", "true", "x", 2.0, 2.5, None), ("-7", "2", "false", "1", 4.0, 1.0, None)],
-        "i STRING, d STRING, b STRING, s STRING, w DOUBLE, f DOUBLE, n STRING",
+        [("1", "1.5", "true", "x", 2.0, 2.5, None, "007"), ("-7", "2.25", "false", "1", 4.0, 1.0, None, "12")],
+        "i STRING, d STRING, b STRING, s STRING, w DOUBLE, f DOUBLE, n STRING, zeros STRING",
     )
     kinds = [f.dataType.simpleString() for f in convert_dtypes(df).schema.fields]
-    assert kinds == ["bigint", "double", "boolean", "string", "bigint", "double", "string"]
+    assert kinds == ["bigint", "double", "boolean", "string", "bigint", "double", "string", "string"]
 
 
 def test_extension_columns(spark):
@@ -43,6 +43,13 @@ def test_extension_columns(spark):
     assert [(r["yes"], r["no"]) for r in out.collect()] == [(True, None), (None, None), (None, None)]
 
 
+def test_extension_columns_from_the_data(spark):
+    ddl = "e ARRAY<STRUCT<url: STRING, valueInt: INT, valueText: STRING, valuePlace: STRUCT<city: STRING>>>"
+    rows_ = [([("http://x/n", 3, None, None), ("http://x/p", None, None, ("A",))],), ([("y/t", None, "text", None)],), (None,)]
+    out = typed_extension_columns(spark.createDataFrame(rows_, ddl), F.col("e"))
+    assert [(r["n"], r["p"], r["t"]) for r in out.collect()] == [("3", '{"city":"A"}', None), (None, None, "text"), (None, None, None)]
+
+
 def test_joins(spark):
     parent = spark.createDataFrame([(1, "p"), (2, "q")], "id INT, name STRING")
     child = spark.createDataFrame([(1, "x"), (1, "y")], "parent_id INT, item STRING")
