@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartweave.operators.joins import fk_violations, full_outer_coalesce, left_join_child, star_report
+from chartweave.operators.joins import fk_report, fk_violations, full_outer_coalesce, left_join_child, star_report
 from chartweave.operators.keyed import rows_without_key
 from chartweave.plans.details import DETAILS, build
-from chartweave.plans.star import STAR, model_table, star_table
+from chartweave.plans.star import FOREIGN_KEYS, STAR, model_table, star_table
 
 from .oracle_star import STAR_SQL
 from .records import RECORDS, Tables
@@ -60,13 +60,29 @@ def star_conditions_by_category(t: Tables) -> DataFrame:
 
 @query(
     "fk_violations",
-    """SELECT 'enc-' || event_id AS missing_key, count(*) AS n_rows FROM events
-       WHERE event_id NOT IN (SELECT o_orderkey FROM orders) OR event_id % 2 = 1 GROUP BY 1""",
+    """SELECT 'pat-' || user_id AS missing_key, count(*) AS n_rows FROM events
+       WHERE user_id NOT IN (SELECT c_custkey FROM customer) GROUP BY 1""",
 )
 def broken_references(t: Tables) -> DataFrame:
-    """Encounters that conditions point to but that are not there (only even ones are kept as loaded)."""
-    loaded = star(t, "fact_encounter").where(F.substring_index("encounter_key", "-", -1).cast("bigint") % 2 == 0)
-    return fk_violations(star(t, "fact_condition"), "encounter_key", loaded)
+    """Patients that conditions point to but that are not there."""
+    return fk_violations(star(t, "fact_condition"), "patient_key", star(t, "dim_patient"))
+
+
+@query(
+    "fk_report",
+    " UNION ALL ".join(
+        f"""SELECT '{fact}' AS fact, '{key}' AS fact_key, '{dimension}' AS dimension,
+              count(DISTINCT f."{key}") AS n_missing, count(f."{key}") AS n_rows
+            FROM ({STAR_SQL[fact]}) f
+            WHERE f."{key}" IS NOT NULL AND f."{key}" NOT IN
+              (SELECT "{other}" FROM ({STAR_SQL[dimension]}) WHERE "{other}" IS NOT NULL)"""
+        for fact, key, dimension, other in FOREIGN_KEYS
+    ),
+)
+def key_report(t: Tables) -> DataFrame:
+    """All declared foreign keys of the star schema."""
+    tables = {name for fact, _, dimension, _ in FOREIGN_KEYS for name in (fact, dimension)}
+    return fk_report({name: star(t, name) for name in sorted(tables)}, FOREIGN_KEYS)
 
 
 @query(
@@ -94,15 +110,16 @@ def left_join(t: Tables) -> DataFrame:
 @query(
     "full_outer_coalesce",
     """WITH q AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS value,
-                    o_orderstatus AS unit FROM orders WHERE o_orderkey % 5 <> 0),
-            c AS (SELECT l_orderkey AS id, l_quantity AS value, l_returnflag AS unit FROM lineitem WHERE l_linenumber = 3)
+                    o_orderstatus AS unit FROM orders),
+            c AS (SELECT l_orderkey * 2 AS id, sum(l_quantity) AS value, max(l_returnflag) AS unit FROM lineitem GROUP BY 1)
        SELECT coalesce(q.id, c.id) AS id, coalesce(c.value, q.value) AS value, coalesce(c.unit, q.unit) AS unit
        FROM q FULL OUTER JOIN c ON q.id = c.id""",
 )
 def outer_join(t: Tables) -> DataFrame:
     """Component values first, the parent's own value where there is no component."""
-    own = t.orders.where("o_orderkey % 5 <> 0").selectExpr(
+    own = t.orders.selectExpr(
         "o_orderkey AS id", "IF(o_orderkey % 2 = 0, o_totalprice, NULL) AS value", "o_orderstatus AS unit"
     )
-    parts = t.lineitem.where("l_linenumber = 3").selectExpr("l_orderkey AS id", "l_quantity AS value", "l_returnflag AS unit")
+    lines = t.lineitem.groupBy((F.col("l_orderkey") * 2).alias("id"))
+    parts = lines.agg(F.sum("l_quantity").alias("value"), F.max("l_returnflag").alias("unit"))
     return full_outer_coalesce(parts, own, "id", {"value": ("value", "value"), "unit": ("unit", "unit")})

@@ -77,6 +77,18 @@ def extension_columns(t: Tables) -> DataFrame:
     return rows.select("id", "okayToLeaveMessage")
 
 
+@query(
+    "extension_columns",
+    """SELECT 'pat-' || c_custkey AS id, '{"city":"' || n_name || '","state":"' || r_name || '"}' AS "birthPlace",
+         CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS "us-core-birthsex", 'Maiden-' || (c_custkey % 100) AS "mothersMaidenName"
+       FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+)
+def all_extension_columns(t: Tables) -> DataFrame:
+    """Names and value fields as the data has them."""
+    rows = typed_extension_columns(data(t, "Patient").select("id", "extension"), F.col("extension"))
+    return rows.select("id", "birthPlace", "us-core-birthsex", "mothersMaidenName")
+
+
 @query(
     "prune_all_frames",
     """SELECT 'flags' AS frame, count(*) AS n_rows FROM (SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem)

@@ -16,20 +16,6 @@ from chartweave.schemas import RESOURCE_FIELDS
 BATCHES = 3
 
 
-MB = 1024 * 1024
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Share out a small table that lies in one block, so that all cores build records.
-
-    Only sizes at which the shuffle costs nothing qualify: from 1 MB up to 8 MB per core. Larger tables
-    are read in many splits anyway and stay as they are, tiny ones are not worth it.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return rows.repartition(cores) if MB <= size < 8 * MB * cores else rows
-
-
 class Tables:
     """The given tables by attribute; each access is a lazy scan."""
 
@@ -37,7 +23,7 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
 def record_struct(fields: dict[str, str]) -> Column:
@@ -278,7 +264,7 @@ def medication_requests(t: Tables) -> DataFrame:
 
 def immunizations(t: Tables) -> DataFrame:
     return record(
-        t.events.where("event_type IN ('view', 'click')"),
+        t.events,
         "Immunization",
         "event_id",
         resourceType="'Immunization'",

@@ -122,22 +122,46 @@ def mentioned_words(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", lower_contains("text", _WORDS).alias("mentioned"))
 
 
-_CATEGORY_SQL = (
-    "CASE "
-    + " ".join(
-        "WHEN " + " OR ".join(f"contains(lowered, '{word}')" for word in words) + f" THEN '{label}'"
-        for label, words in CONDITION_RULES.items()
-    )
-    + " ELSE 'Other' END"
-)
+# Written out on purpose, not built from the rules it checks.
+_CATEGORY_SQL = r"""CASE
+  WHEN regexp_matches(lowered, 'diabetes|insulin|retinopathy|microalbuminuria') THEN 'Endocrine / Metabolic'
+  WHEN regexp_matches(lowered, 'cardiac arrest|hypertension') THEN 'Cardiology'
+  WHEN regexp_matches(lowered, 'fracture|injury|sprain|concussion|osteoarthritis|meniscus|laceration|rupture of patellar|thigh|hand|foot|burn|wound|rupture|bullet')
+    THEN 'Trauma / Musculoskeletal'
+  WHEN regexp_matches(lowered, 'cancer|neoplasm|tumor|carcinoma') THEN 'Oncology'
+  WHEN regexp_matches(lowered, 'asthma|bronchitis|sinusitis|copd|pneumonia|emphysema|pharyngitis|sore throat|bronch') THEN 'Respiratory'
+  WHEN regexp_matches(lowered, 'rheumatoid|gout|fibromyalgia') THEN 'Rheumatology'
+  WHEN regexp_matches(lowered, 'rhinitis|otitis|allergic reaction') THEN 'ENT / Allergy'
+  WHEN regexp_matches(lowered, 'migraine|stroke|brain|paralysis|alzheimer|dementia') THEN 'Neurological'
+  WHEN regexp_matches(lowered, 'attention deficit|adhd|autism') THEN 'Mental / Behavioral'
+  WHEN regexp_matches(lowered, 'pregnancy|miscarriage|eclampsia|infertility|uterine|ovum') THEN 'Reproductive / Obstetrics'
+  WHEN regexp_matches(lowered, 'urinary|kidney|renal|cystitis|pyelonephritis') THEN 'Urology / Nephrology'
+  WHEN regexp_matches(lowered, 'appendicitis|bleeding from anus|colon|diarrhea|rectal|polyp') THEN 'Gastroenterology'
+  WHEN regexp_matches(lowered, 'history of appendectomy|history of amputation|history of cardiac arrest') THEN 'Post-surgical History'
+  WHEN regexp_matches(lowered, 'overdose') THEN 'Toxicology'
+  ELSE 'Other' END"""
+
+# One display per category, and some that match two rules or none.
+_DISPLAYS = [
+    "Diabetes mellitus", "HYPERTENSION", "Sprain of ankle", "Lung cancer", "COPD", "Gout", "Otitis media", "Stroke",
+    "ADHD", "Miscarriage", "Kidney stone", "Appendicitis", "History of appendectomy", "Drug overdose", "Normal",
+    "History of cardiac arrest", "Acute bronchitis with injury", "Polyp of colon", "Perennial allergic rhinitis",
+]
+_DISPLAY_SQL = f"list_value({', '.join(repr(d) for d in _DISPLAYS)})[CAST(event_id % {len(_DISPLAYS)} AS INTEGER) + 1]"
 
 
 @query(
     "categorize_keywords",
-    f"SELECT doc_id, {_CATEGORY_SQL} AS category FROM (SELECT doc_id, lower(text) AS lowered FROM documents)",
+    f"""SELECT id, {_CATEGORY_SQL} AS category
+        FROM (SELECT doc_id AS id, lower(text) AS lowered FROM documents
+              UNION ALL SELECT -event_id, lower({_DISPLAY_SQL}) FROM events)""",
 )
 def categorized(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", condition_category("text").alias("category"))
+    """Texts of documents, and displays that reach every category."""
+    names = F.array(*[F.lit(d) for d in _DISPLAYS])
+    display = F.element_at(names, (F.col("event_id") % len(_DISPLAYS) + 1).cast("int"))
+    texts = t.documents.select(F.col("doc_id").alias("id"), "text").union(t.events.select(-F.col("event_id"), display))
+    return texts.select("id", condition_category("text").alias("category"))
 
 
 @query(

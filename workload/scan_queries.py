@@ -5,7 +5,6 @@ Queries that write use a new folder below the session's shared folder and read t
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,11 +15,18 @@ from chartweave.operators.imaging import dicom_images, dicom_metadata, imaging_i
 from chartweave.plans.details import DETAILS, build
 from chartweave.plans.jobs import run_each
 from chartweave.plans.ledger import Ledger, last_batch, next_batch, of_source, oldest, pending_batches
-from chartweave.plans.star import STAR, load_rows, model_table
-from chartweave.session import shared_folder
+from chartweave.plans.star import STAR, create_star_tables, load_rows, model_table
+from chartweave.session import scratch_folder
 from chartweave.sinks.jdbc import jdbc_rows
-from chartweave.sinks.layers import write_bronze, write_detail
-from chartweave.sources.bundles import bundle_entries, parse_bundles, read_bundles, read_json_inferred
+from chartweave.sinks.layers import save_image_table, write_bronze, write_detail, write_star
+from chartweave.sources.bundles import (
+    bundle_entries,
+    parse_bundles,
+    read_bundles,
+    read_json_inferred,
+    rejected_bundles,
+    whole_bundles,
+)
 from chartweave.sources.file_batches import batch_files
 from chartweave.sources.images import read_images
 from chartweave.sources.layers import Lake, read_bronze, read_detail, read_star
@@ -28,14 +34,17 @@ from chartweave.streaming.ingest import bundle_file_stream, ingest_stream, upser
 
 from .oracle_details import DETAIL_SQL, moment
 from .oracle_star import STAR_SQL
-from .records import BATCHES, RECORDS, Tables, bronze, bundles, image_files
+from .records import RECORDS, Tables, bronze, bundles, image_files
 from .register import query
 
 SOURCE = "local"
+# size of the stream queries' files and epochs
+BUNDLES_PER_FILE = 50_000
+FILES_PER_EPOCH = 64
 
 
 def scratch(t: Tables) -> str:
-    return f"{shared_folder(t.spark)}/chartweave-{uuid.uuid4().hex}"
+    return scratch_folder(t.spark)
 
 
 ENTRY_SQL = """
@@ -55,6 +64,25 @@ def scan_bundle_json(t: Tables) -> DataFrame:
     return entry_ids(bundle_entries(read_bundles(t.spark, folder, multi_line=False)))
 
 
+@query(
+    "scan_bundle_rejects",
+    """SELECT CASE WHEN o_orderkey % 10 IN (3, 7) THEN 'rejected' ELSE 'whole' END AS kind, count(*) AS n_bundles,
+         2 * count(*) FILTER (WHERE o_orderkey % 10 NOT IN (3, 7)) AS n_entries
+       FROM orders GROUP BY 1""",
+)
+def scan_bundle_rejects(t: Tables) -> DataFrame:
+    """Some bundles are cut off and some have a field of another type: none of them gets lost."""
+    folder = scratch(t)
+    number = F.regexp_extract("value", "enc-([0-9]+)", 1).cast("bigint") % 10
+    cut = F.expr("substring(value, 1, length(value) - 20)")
+    other = F.regexp_replace("value", '^\\{"entry":', '{"entry":"none","was":')
+    bundles(t).select(F.when(number == 3, cut).when(number == 7, other).otherwise(F.col("value"))).write.text(folder)
+    read = read_bundles(t.spark, folder, multi_line=False)
+    good = whole_bundles(read).select(F.lit("whole").alias("kind"), F.size("entry").alias("n"))
+    bad = rejected_bundles(read).where(F.length("text") > 0).select(F.lit("rejected").alias("kind"), F.col("n_entries").alias("n"))
+    return good.union(bad).groupBy("kind").agg(F.count("*").alias("n_bundles"), F.sum("n").alias("n_entries"))
+
+
 @query(
     "scan_json_infer",
     """SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority, o_totalprice FROM orders""",
@@ -93,9 +121,7 @@ def bronze_sql(where: str = "true") -> str:
 
 def write_all_bronze(t: Tables, *kinds: str) -> Lake:
     lake = Lake(scratch(t))
-    rows = bronze(t, *kinds)
-    for batch_id in range(BATCHES):
-        write_bronze(rows.where(F.col("batch_id") == batch_id).drop("batch_id"), lake, SOURCE, batch_id)
+    write_bronze(bronze(t, *kinds), lake, SOURCE)
     return lake
 
 
@@ -113,9 +139,7 @@ def scan_bronze_batch(t: Tables) -> DataFrame:
 
 def write_details(t: Tables, name: str, kind: str) -> Lake:
     lake = Lake(scratch(t))
-    rows = build(name, RECORDS[kind](t))
-    for batch_id in range(BATCHES):
-        write_detail(rows.where(F.col("batch_id") == batch_id), lake, name, SOURCE, batch_id)
+    write_detail(build(name, RECORDS[kind](t)), lake, name, SOURCE)
     return lake
 
 
@@ -143,32 +167,48 @@ def sink_jdbc(t: Tables) -> DataFrame:
 @query(
     "sink_modeled_all",
     " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM ({sql})" for name, sql in STAR_SQL.items()
+        f"SELECT '{name}' AS table_name, '{column}' AS column_name, count(*) AS n_rows, count(\"{column}\") AS n_values, "
+        f"count(DISTINCT \"{column}\") AS n_distinct FROM ({STAR_SQL[name]})"
+        for name, table in STAR.items()
+        for column in table.columns
     ),
 )
 def sink_modeled_all(t: Tables) -> DataFrame:
-    """Every star table written batch by batch and read back, with the number of rows readers see."""
+    """Every star table written in batches and read back: what readers see of each of its columns."""
     lake = Lake(scratch(t))
 
     def load(_: str, table) -> None:
-        loaded = load_rows(build(table.source, RECORDS[DETAILS[table.source].resource](t)), table)
-        loaded.write.partitionBy("batch_id").parquet(lake.star(table))
+        write_star(load_rows(build(table.source, RECORDS[DETAILS[table.source].resource](t)), table), lake, table, SOURCE)
+
+    def summary(name: str, table) -> DataFrame:
+        """Rows, values and distinct values of every column."""
+        counts = [F.count(F.lit(1)).alias("n_rows")]
+        for place, column in enumerate(table.columns):
+            counts += [F.count(column).alias(f"n{place}"), F.count_distinct(column).alias(f"d{place}")]
+        fields = [
+            F.struct(F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), F.col("n_rows"),
+                     F.col(f"n{place}").alias("n_values"), F.col(f"d{place}").alias("n_distinct"))
+            for place, column in enumerate(table.columns)
+        ]
+        return read_star(t.spark, lake, table).agg(*counts).select(F.inline(F.array(*fields)))
 
     run_each(STAR, load)
-    counts = [
-        read_star(t.spark, lake, table).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
-        for name, table in STAR.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, [summary(name, table) for name, table in STAR.items()])
 
 
 @query("gold_ddl_cast", STAR_SQL["fact_dispense_request"])
 def gold_ddl_cast(t: Tables) -> DataFrame:
-    """Rows stored under the declared column types of the star table."""
+    """Rows stored in a table of the defined star schema, under its declared column types."""
     table = STAR["fact_dispense_request"]
     folder = scratch(t)
-    load_rows(build(table.source, RECORDS["MedicationRequest"](t)), table).write.parquet(folder)
-    return t.spark.read.schema(table.ddl).parquet(folder)
+    prefix = folder.rsplit("/", 1)[1].replace("-", "_") + "_"
+    create_star_tables(t.spark, folder, prefix)
+    rows = load_rows(build(table.source, RECORDS["MedicationRequest"](t)), table).select(*table.columns)
+    rows.write.insertInto(f"{prefix}{table.full_name}")
+    stored = t.spark.read.schema(table.ddl).parquet(f"{folder}/{table.full_name}")
+    for group in dict.fromkeys(s.group for s in STAR.values()):
+        t.spark.sql(f"DROP DATABASE {prefix}{group} CASCADE")  # the definitions; the files stay in their folder
+    return stored
 
 
 # --- images --------------------------------------------------------------------------------------
@@ -221,8 +261,11 @@ def image_pixels(t: Tables) -> DataFrame:
 @query("sink_binary_meta", HEADER_SQL)
 def sink_binary_meta(t: Tables) -> DataFrame:
     folder = scratch(t)
-    dicom_metadata(image_files(t)).write.mode("overwrite").parquet(folder)
-    return header_columns(t.spark.read.parquet(folder))
+    name = folder.rsplit("/", 1)[1].replace("-", "_")
+    save_image_table(dicom_metadata(image_files(t)), name, folder)
+    stored = t.spark.read.parquet(folder)
+    t.spark.sql(f"DROP TABLE {name}")  # the definition; the files stay in their folder
+    return header_columns(stored)
 
 
 @query(
@@ -375,9 +418,9 @@ def epoch_batch_label(t: Tables) -> DataFrame:
 @query("stream_ingest", ENTRY_SQL)
 def stream_ingest(t: Tables) -> DataFrame:
     folder = scratch(t)
-    bundles(t).repartition(8).write.text(f"{folder}/in")
+    bundles(t).write.option("maxRecordsPerFile", BUNDLES_PER_FILE).text(f"{folder}/in")
     lake = Lake(f"{folder}/lake")
-    stream = bundle_file_stream(t.spark, f"{folder}/in", multi_line=False, files_per_batch=3)
+    stream = bundle_file_stream(t.spark, f"{folder}/in", multi_line=False, files_per_batch=FILES_PER_EPOCH)
     ingest_stream(t.spark, stream, lake, f"{folder}/progress")
     return entry_ids(read_bronze(t.spark, lake, "stream"))
 
@@ -390,11 +433,14 @@ def stream_ingest(t: Tables) -> DataFrame:
         FROM orders""",
 )
 def stream_upsert(t: Tables) -> DataFrame:
+    """All encounters arrive twice, in the same stream stopped and started again: first in an older state."""
     folder = scratch(t)
-    bundles(t).repartition(6).write.text(f"{folder}/in")
     lake = Lake(f"{folder}/lake")
-    stream = bundle_file_stream(t.spark, f"{folder}/in", multi_line=False, files_per_batch=3)
-    upsert_stream(t.spark, bundle_entries(stream), ["fact_encounter"], lake, f"{folder}/progress")
+    old = bundles(t).select(F.regexp_replace("value", '"status":"[^"]*"', '"status":"older"').alias("value"))
+    for texts in (old, bundles(t)):
+        texts.write.mode("append").option("maxRecordsPerFile", BUNDLES_PER_FILE).text(f"{folder}/in")
+        stream = bundle_file_stream(t.spark, f"{folder}/in", multi_line=False, files_per_batch=FILES_PER_EPOCH)
+        upsert_stream(t.spark, bundle_entries(stream), ["fact_encounter"], lake, f"{folder}/progress")
     rows = read_star(t.spark, lake, "fact_encounter")
     return rows.select("encounter_key", "encounter_status", "encounter_type_key", "period_start")
 

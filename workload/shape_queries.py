@@ -261,13 +261,31 @@ def flattened_fully(t: Tables) -> DataFrame:
 
 @query(
     "split_child_tables",
-    """SELECT 'pat-' || c_custkey AS "Patient_id", 'http://example.org/id/' || k.kind AS system,
-         CASE WHEN k.kind = 'mrn' THEN CAST(c_custkey AS VARCHAR) ELSE '999-' || c_custkey END AS value
-       FROM customer CROSS JOIN (VALUES ('mrn'), ('ssn')) k(kind)""",
+    """SELECT 'Patient' AS name, 'pat-' || c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS first,
+         NULL AS second
+       FROM customer
+       UNION ALL
+       SELECT 'Patient.identifier', 'pat-' || c_custkey, 'http://example.org/id/' || k.kind,
+         CASE WHEN k.kind = 'mrn' THEN CAST(c_custkey AS VARCHAR) ELSE '999-' || c_custkey END
+       FROM customer CROSS JOIN (VALUES ('mrn'), ('ssn')) k(kind)
+       UNION ALL
+       SELECT 'Patient.telecom', 'pat-' || c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'home' ELSE 'mobile' END,
+         '555-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0')
+       FROM customer WHERE c_custkey % 13 <> 0""",
 )
 def child_tables(t: Tables) -> DataFrame:
-    people = data(t, "Patient").select("id", "gender", "identifier", "telecom")
-    return split_child_tables(people, "Patient")["Patient.identifier"]
+    """The parent table and both child tables."""
+    found = split_child_tables(data(t, "Patient").select("id", "gender", "identifier", "telecom"), "Patient")
+    shown = {"Patient": ("id", "gender", None), "Patient.identifier": ("Patient_id", "system", "value"),
+             "Patient.telecom": ("Patient_id", "use", "value")}
+    rows = [
+        found[name].select(
+            F.lit(name).alias("name"), F.col(key).alias("id"), F.col(first).alias("first"),
+            (F.col(second) if second else F.lit(None).cast("string")).alias("second"),
+        )
+        for name, (key, first, second) in shown.items()
+    ]
+    return rows[0].union(rows[1]).union(rows[2])
 
 
 @query(
@@ -371,7 +389,7 @@ def sort_paths(t: Tables) -> DataFrame:
 
 
 _UPDATES_SQL = """
-    SELECT l_partkey AS code, l_linenumber AS batch_id,
+    SELECT l_partkey * 2 AS code, l_linenumber AS batch_id,
       CASE WHEN l_linenumber % 3 <> 0 THEN 'upd ' || l_returnflag || CAST(l_quantity AS INTEGER) END AS name,
       'cat ' || l_linestatus AS category
     FROM lineitem"""
@@ -382,7 +400,7 @@ _UPDATES_SQL = """
     f"""WITH u AS ({_UPDATES_SQL}),
          every_row AS (
            SELECT p_partkey AS code, 0 AS is_new, NULL::INTEGER AS batch_id, p_name AS name, p_type AS category
-           FROM part WHERE p_partkey % 4 <> 0
+           FROM part
            UNION ALL SELECT code, 1, batch_id, name, category FROM u)
        SELECT l.code, l.name, f.category
        FROM (SELECT DISTINCT ON (code) code, name FROM every_row
@@ -392,9 +410,9 @@ _UPDATES_SQL = """
 )
 def upserted(t: Tables) -> DataFrame:
     """Parts merged with several batches of line updates; the category keeps its first value."""
-    target = t.part.where("p_partkey % 4 <> 0").selectExpr("p_partkey AS code", "p_name AS name", "p_type AS category")
+    target = t.part.selectExpr("p_partkey AS code", "p_name AS name", "p_type AS category")
     updates = t.lineitem.selectExpr(
-        "l_partkey AS code",
+        "l_partkey * 2 AS code",
         "l_linenumber AS batch_id",
         "IF(l_linenumber % 3 <> 0, concat('upd ', l_returnflag, CAST(l_quantity AS INT)), NULL) AS name",
         "concat('cat ', l_linestatus) AS category",
