@@ -143,7 +143,7 @@ def _attempt(read, content: pa.BinaryScalar) -> tuple:
         if not content.is_valid:
             raise HeaderError("no content")
         return read(memoryview(content.as_buffer())), None
-    except HeaderError as problem:
+    except ValueError as problem:  # HeaderError, and numbers that are none
         return None, str(problem)
 
 

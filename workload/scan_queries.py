@@ -148,6 +148,14 @@ def sink_silver(t: Tables) -> DataFrame:
     return read_detail(t.spark, write_details(t, "procedure", "Procedure"), "procedure", SOURCE)
 
 
+@query("scan_model_input", STAR_SQL["fact_procedure"])
+def scan_model_input(t: Tables) -> DataFrame:
+    """A star table as model training reads it: all batches, from its folder."""
+    lake, table = Lake(scratch(t)), STAR["fact_procedure"]
+    write_star(load_rows(build(table.source, RECORDS["Procedure"](t)), table), lake, table, SOURCE)
+    return read_star(t.spark, lake, table)
+
+
 @query("scan_silver_batch", f"SELECT * FROM ({DETAIL_SQL['immunization']}) WHERE batch_id = 2")
 def scan_silver_batch(t: Tables) -> DataFrame:
     return read_detail(t.spark, write_details(t, "immunization", "Immunization"), "immunization", SOURCE, 2)
