@@ -54,7 +54,7 @@ class Node:
         self.label, self.children, self.text = label, [], ""
         self.links = self.chars = 0
         self.pages = 1
-        #: hash of the text if it is the same wherever the place is met, else None
+        #: hash of the text, or of a page's different texts in one place, if it is the same on all pages, else None
         self.value = None
         self.optional = self.repeated = False
 
@@ -149,13 +149,17 @@ def block_text(text: str) -> str:
     return " ".join(entities.unescape(text).split())
 
 
+def _digest(text: str) -> str:
+    return blake2b(text.encode(), digest_size=8).hexdigest()
+
+
 def grouped(node: Node) -> Node:
     """The page's tree as a wrapper of its own, with repeated stretches of a stream as one repeated group."""
     out = Node(node.label)
     if node.label == "#":
         text = block_text(node.text)
         out.chars, out.links = len(text), min(len(text), node.links)
-        out.value = blake2b(text.encode(), digest_size=8).hexdigest()
+        out.value = _digest(text)
         return out
     for child in node.children:
         out.children.append(grouped(child))
@@ -192,7 +196,7 @@ def joined(a: Node, b: Node, pages: int | None = None) -> Node:
     out = Node(a.label)
     out.pages = pages or a.pages + b.pages
     out.chars, out.links = a.chars + b.chars, a.links + b.links
-    out.value = a.value if a.value == b.value else None
+    out.value = a.value if a.value == b.value else _digest(a.value + b.value) if pages else None
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
     for x, y in aligned(a.children, b.children):
         if x and y:
@@ -244,34 +248,42 @@ def _is_aside(node: Node) -> bool:
     return chars > 0 and links > LINK_SHARE * chars and name not in SECTIONS and name != "p"
 
 
-def _is_template(node: Node, pages: int) -> bool:
-    """A text that is the same on all of many pages."""
-    return node.label == "#" and node.value is not None and node.pages == pages >= SAME_PAGES
-
-
-def _varies(node: Node) -> bool:
-    return node.label == "#" and node.value is None or any(map(_varies, node.children))
+def _templates(wrapper: Node) -> set[int]:
+    """Texts that are the same on all of SAME_PAGES or more pages that have the place around them.
 
-
-def _section(wrapper: Node) -> str | None:
-    """The element that holds articles on this host, if the wrapper has one outside its asides."""
-    found, todo = set(), [wrapper]
-    while todo:
-        node = todo.pop()
-        if node is not wrapper and _is_aside(node):
-            continue
-        found.add(node.label.split(".")[0])
-        todo += node.children
-    return next((s for s in SECTIONS if s in found), None)
+    That place is the outermost one that just these pages have; if its texts are all alike, it holds copies of
+    one page, and they are no template.
+    """
+    found: set[int] = set()
+
+    def walk(node: Node, same: list[Node]) -> bool:
+        if node.label == "#":
+            if node.value is not None and node.pages >= SAME_PAGES:
+                same.append(node)
+            return node.value is None
+        varies = False
+        for child in node.children:
+            own: list[Node] = []
+            if child.label == "#" and child.pages < node.pages:
+                varies |= child.value is None
+                continue
+            child_varies = walk(child, same if child.pages == node.pages else own)
+            varies |= child_varies
+            if own and child_varies:
+                found.update(map(id, own))
+        return varies
+
+    same: list[Node] = []
+    if walk(wrapper, same):
+        found.update(map(id, same))
+    return found
 
 
 class Wrapper:
     """A host's wrapper, ready to be applied to its pages."""
 
     def __init__(self, root: Node):
-        self.root, self.section = root, _section(root)
-        #: without an element for articles, what all pages say alike is template, unless they are all alike
-        self.pages = root.pages if self.section is None and _varies(root) else 0
+        self.root, self.templates = root, _templates(root)
         self.places: dict[int, tuple[list[Node], list[bool]]] = {}
 
     def slots(self, node: Node) -> tuple[list[Node], list[bool]]:
@@ -285,14 +297,20 @@ class Wrapper:
                     todo += reversed(child.children)
                 else:
                     places.append(child)
-            self.places[id(node)] = places, [_is_aside(p) or _is_template(p, self.pages) for p in places]
+            self.places[id(node)] = places, [_is_aside(p) for p in places]
         return self.places[id(node)]
 
     def main_blocks(self, page: Node) -> list[str]:
-        """The texts of a page in the wrapper's content slots, in page order."""
-        blocks: list[str] = []
+        """The texts of a page in the wrapper's content slots, in page order.
+
+        If the page itself has article (else main) elements outside its asides, only what lies in them counts;
+        if it has neither, what all pages say alike is left out.
+        """
+        blocks: list[tuple[str, frozenset[str]]] = []
+        plain: list[str] = []
+        met: set[str] = set()
 
-        def walk(slot: Node, node: Node, inside: bool) -> None:
+        def walk(slot: Node, node: Node, inside: frozenset[str]) -> None:
             places, left_out = self.slots(slot)
             at = 0
             for child in node.children:
@@ -301,13 +319,22 @@ class Wrapper:
                 if left_out[at]:
                     continue
                 if child.label == "#":
-                    if inside and (text := block_text(child.text)):
-                        blocks.append(text)
+                    if text := block_text(child.text):
+                        if inside:
+                            blocks.append((text, inside))
+                        elif id(places[at]) not in self.templates or places[at].value != _digest(text):
+                            plain.append(text)
                 else:
-                    walk(places[at], child, inside or child.label.split(".")[0] == self.section)
+                    name = child.label.split(".")[0]
+                    if name in SECTIONS:
+                        met.add(name)
+                        walk(places[at], child, inside | {name})
+                    else:
+                        walk(places[at], child, inside)
 
-        walk(self.root, page, self.section is None)
-        return blocks
+        walk(self.root, page, frozenset())
+        section = next((s for s in SECTIONS if s in met), None)
+        return plain if section is None else [text for text, inside in blocks if section in inside]
 
 
 def _partial(batches):
@@ -352,8 +379,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """One row per input row: the id, the address and ``text``, the main text with one block a line.
 
     Slots of the host's wrapper are content unless they lie in a menu, header, footer, sidebar, notice, advert,
-    form or comment element, are mostly links, or hold the same text on all of five or more pages; if the host
-    has article (else main) elements, only what lies inside them is content. Character references are decoded,
+    form or comment element, or are mostly links. Of a page that has article (else main) elements, only what lies
+    inside them is content; of a page with neither, all but the texts that are the same on all of five or more
+    pages that have the place around them, unless these pages are copies. Character references are decoded,
     white space inside a block becomes one blank, line breaks inside a block too. Null and empty pages have an
     empty text; pages without a host share one wrapper; repeated rows get a row each; a null id stays null; an
     empty table gives an empty result; no other column is read.

@@ -48,6 +48,27 @@ def test_main_text(pages, kind):
     assert got == {n: "\n".join(blocks) for n, (_, blocks) in enumerate(made)}
 
 
+@pytest.mark.parametrize("address", ["https://mixed.example/", ""])
+def test_each_page_of_a_mixed_host_has_its_own_section(pages, address):
+    made = []
+    for n in range(24):
+        page, blocks = _page(n, "article" if n % 3 == 0 else "plain")
+        if n % 3 == 1:
+            page = page.replace("<div id='w'><p class='q'>All pages say this.</p>", "<main>").replace("</div><form>", "</main><form>")
+        made.append((page, blocks))
+    made += [(None, []), ("", []), ("<h1>Out of order</h1>", ["Out of order"])]
+    rows = [(n, address + str(n), page) for n, (page, _) in enumerate(made)]
+    got = {r.page_id: r.text for r in extract_text(pages(rows)).collect()}
+    assert got == {n: "\n".join(blocks) for n, (_, blocks) in enumerate(made)}
+
+
+def test_copies_within_a_host_keep_their_text(pages):
+    copy = "<body><div id='old'><h2>Title</h2><p>one</p><p>two</p></div></body>"
+    rows = [(n, "http://some.x/", copy if n < 6 else f"<body><div id='new'><p>text {n}</p></div></body>") for n in range(12)]
+    got = {r.page_id: r.text for r in extract_text(pages(rows)).collect()}
+    assert got == {n: "Title\none\ntwo" if n < 6 else f"text {n}" for n in range(12)}
+
+
 def test_wrapper_is_a_union_free_expression(pages):
     rows = [
         (1, "http://a.b:80/x", "<body><ul><li>1</li><li>2</li></ul><h2>a</h2><p>b</p><h2>c</h2><p>d</p></body>"),
