@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from functools import lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import saved, slices
 
 # Elements that run inside a line, elements without content, and elements that never hold an
-# article's text; words of a class or id that tell the same.
+# article's text; class, id and role tokens that tell the same, alone or in one token with other such parts.
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr br img".split()
@@ -27,10 +28,15 @@ ASIDE = set(
 ASIDE_WORDS = set(
     "ad ads adv advert adverts advertisement advertising banner promo promotion sponsor sponsored cookie cookies consent "
     "gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login sidebar side widget menu "
-    "nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar header masthead footer copyright legal social "
+    "nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar header masthead footer copyright social "
     "share sharing related recommended comment comments reply replies respond disqus".split()
 )
+ASIDE_PARTS = set(
+    "area banner bar block box btn button buttons col column container content form icon icons inner item items legal link "
+    "links list message page panel posts section site text top bottom unit wrap wrapper".split()
+)
 SECTIONS = ("article", "main")
+WHOLE = ("page", "html", "body", *SECTIONS)
 LINK_SHARE = 0.6
 SAME_PAGES = 5
 DEEPEST = 100
@@ -141,7 +147,9 @@ def _label(name: str, attributes: str) -> str:
     words = set()
     if "=" in attributes:
         for m in _NAMES.finditer(attributes):
-            words.update(re.findall(r"[a-z]+", (m[1] or m[2] or m[3] or "").lower()))
+            tokens = (m[1] or m[2] or m[3] or "").lower().split()
+            words.update("-".join(re.findall(r"[a-z]+", token)) for token in tokens)
+    words.discard("")
     return ".".join([name, *sorted(words)])
 
 
@@ -233,19 +241,46 @@ def aligned(left: list[Node], right: list[Node]) -> list[tuple[Node | None, Node
 
 
 def _totals(node: Node) -> tuple[int, int]:
+    """Characters of a place and of its links, without those of its asides."""
     chars, links = node.chars, node.links
     for child in node.children:
-        c, k = _totals(child)
-        chars, links = chars + c, links + k
+        if not _is_aside(child):
+            c, k = _totals(child)
+            chars, links = chars + c, links + k
     return chars, links
 
 
-def _is_aside(node: Node) -> bool:
-    name, *words = node.label.split(".")
-    if name in ASIDE or not ASIDE_WORDS.isdisjoint(words):
+@lru_cache(maxsize=100_000)
+def _aside_label(label: str) -> bool:
+    name, *tokens = label.split(".")
+    if name in ASIDE:
         return True
+    if name in WHOLE or name[0] == "(":
+        return False
+    split = [token.split("-") for token in tokens]
+    return any(not ASIDE_WORDS.isdisjoint(t) and ASIDE_WORDS.union(ASIDE_PARTS).issuperset(t) for t in split)
+
+
+def _is_aside(node: Node) -> bool:
+    return _aside_label(node.label)
+
+
+def _is_links(node: Node) -> bool:
+    """A place that is mostly links, outside of sections."""
     chars, links = _totals(node)
-    return chars > 0 and links > LINK_SHARE * chars and name not in SECTIONS and name != "p"
+    return chars > 0 and links > LINK_SHARE * chars and node.label.split(".")[0] not in (*WHOLE, "p")
+
+
+def _links_here(node: Node) -> bool:
+    """The same of one element of a page."""
+    chars = links = 0
+    todo = [node]
+    while todo:
+        part = todo.pop()
+        text = block_text(part.text)
+        chars, links = chars + len(text), links + min(len(text), part.links)
+        todo += (c for c in part.children if not _is_aside(c))
+    return links > LINK_SHARE * chars
 
 
 def _templates(wrapper: Node) -> set[int]:
@@ -284,10 +319,10 @@ class Wrapper:
 
     def __init__(self, root: Node):
         self.root, self.templates = root, _templates(root)
-        self.places: dict[int, tuple[list[Node], list[bool]]] = {}
+        self.places: dict[int, tuple[list[Node], list[bool], list[bool]]] = {}
 
-    def slots(self, node: Node) -> tuple[list[Node], list[bool]]:
-        """The places of a stream with groups laid open, and which of them are no content."""
+    def slots(self, node: Node) -> tuple[list[Node], list[bool], list[bool]]:
+        """The places of a stream with groups laid open, which of them are asides, and which are mostly links."""
         if id(node) not in self.places:
             places: list[Node] = []
             todo = list(reversed(node.children))
@@ -297,7 +332,7 @@ class Wrapper:
                     todo += reversed(child.children)
                 else:
                     places.append(child)
-            self.places[id(node)] = places, [_is_aside(p) for p in places]
+            self.places[id(node)] = places, [_is_aside(p) for p in places], [_is_links(p) for p in places]
         return self.places[id(node)]
 
     def main_blocks(self, page: Node) -> list[str]:
@@ -310,14 +345,17 @@ class Wrapper:
         plain: list[str] = []
         met: set[str] = set()
 
-        def walk(slot: Node, node: Node, inside: frozenset[str]) -> None:
-            places, left_out = self.slots(slot)
+        def walk(slot: Node, node: Node, inside: frozenset[str], listed: bool = False) -> None:
+            places, left_out, mostly_links = self.slots(slot)
             at = 0
             for child in node.children:
                 ahead = (k for part in (range(at, len(places)), range(at)) for k in part)
                 at = next(k for k in ahead if places[k].label == child.label)
                 if left_out[at]:
                     continue
+                links = mostly_links[at] and _links_here(child)
+                if links and not inside:
+                    continue
                 if child.label == "#":
                     if text := block_text(child.text):
                         if inside:
@@ -326,11 +364,11 @@ class Wrapper:
                             plain.append(text)
                 else:
                     name = child.label.split(".")[0]
-                    if name in SECTIONS:
+                    if name in SECTIONS and not listed:  # teasers in a list of links are no section
                         met.add(name)
                         walk(places[at], child, inside | {name})
                     else:
-                        walk(places[at], child, inside)
+                        walk(places[at], child, inside, listed or links)
 
         walk(self.root, page, frozenset())
         section = next((s for s in SECTIONS if s in met), None)
@@ -379,7 +417,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """One row per input row: the id, the address and ``text``, the main text with one block a line.
 
     Slots of the host's wrapper are content unless they lie in a menu, header, footer, sidebar, notice, advert,
-    form or comment element, or are mostly links. Of a page that has article (else main) elements, only what lies
+    form or comment element, or outside of article and main are mostly links. A class, id or role tells such an
+    element if one of its tokens consists of known words only (``promo-box``, not ``share-price``), but never on
+    html, body, article or main. Of a page that has article (else main) elements, only what lies
     inside them is content; of a page with neither, all but the texts that are the same on all of five or more
     pages that have the place around them, unless these pages are copies. Character references are decoded,
     white space inside a block becomes one blank, line breaks inside a block too. Null and empty pages have an

@@ -62,6 +62,23 @@ def test_each_page_of_a_mixed_host_has_its_own_section(pages, address):
     assert got == {n: "\n".join(blocks) for n, (_, blocks) in enumerate(made)}
 
 
+def test_loose_signs_leave_text_in_place(pages):
+    inner = (
+        "<h2><a href='/a'>Linked heading</a></h2><div class='share-price'>up</div><div class='side-by-side'>pair</div>"
+        "<div class='legal'>law</div><div class='share-buttons'>no</div><div class='site-footer'>no</div>"
+        "<ul><li><a href='/r'>Reference one</a></li></ul><table><tr><td><a href='/t'>Link table</a></td></tr></table>"
+    )
+    want = "Linked heading\nup\npair\nlaw\nReference one\nLink table"
+    rows = [
+        (1, "http://a.x/", f"<body class='no-sidebar'><article class='comments-open'>{inner}</article></body>"),
+        (2, "http://b.x/", f"<body class='header-fixed menu'><main id='header'>{inner}</main></body>"),
+        (3, "http://c.x/", "<body class='sidebar'><div class='share-price side-by-side'><p>plain</p></div></body>"),
+        (4, "http://d.x/", "<div><a href='/1'>first linked page</a> <a href='/2'>second linked page</a></div><div>few words</div>"),
+    ]
+    got = {r.page_id: r.text for r in extract_text(pages(rows)).collect()}
+    assert got == {1: want, 2: want, 3: "plain", 4: "few words"}
+
+
 def test_copies_within_a_host_keep_their_text(pages):
     copy = "<body><div id='old'><h2>Title</h2><p>one</p><p>two</p></div></body>"
     rows = [(n, "http://some.x/", copy if n < 6 else f"<body><div id='new'><p>text {n}</p></div></body>") for n in range(12)]
