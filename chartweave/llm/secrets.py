@@ -30,7 +30,6 @@ HEX_ONLY = re.compile(r"(?:0x)?(?:[0-9a-f]+|[0-9A-F]+)", re.ASCII)
 IDENTIFIER = re.compile(
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # universally unique ids
     r"|[0-9/_=+-]+"  # numbers, dates, rules
-    r"|(?:[A-Za-z]+[-_/])*[A-Za-z]+"  # words, also joined ones
     r"|[A-Za-z]{1,12}[-_][0-9]+",  # numbered names
     re.ASCII,
 )
@@ -61,19 +60,34 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def _outside(candidates, taken: list[tuple[int, int]]):
+    """The parts of candidates left, between and right of the sorted places that are taken, if they are long enough."""
+    k = 0
+    for m in candidates:
+        at = m.start()
+        while k < len(taken) and taken[k][1] <= at:
+            k += 1
+        j = k
+        while j < len(taken) and taken[j][0] < m.end():
+            if taken[j][0] - at >= RANDOM_CHARS:
+                yield at, taken[j][0]
+            at = max(at, taken[j][1])
+            j += 1
+        if m.end() - at >= RANDOM_CHARS:
+            yield at, m.end()
+
+
 def scan(text: str, encoding, ratio: float) -> list[tuple[int, int, int]]:
     spans = base_spans(text)
     if max(map(len, text.split()), default=0) >= RANDOM_CHARS:
         spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
         found = []
-        for m in CANDIDATE.finditer(text):
-            word = m.group()
-            if any(a < m.end() and m.start() < b for a, _, b in spans):
-                continue
+        for start, end in _outside(CANDIDATE.finditer(text), sorted((a, b) for a, _, b in spans)):
+            word = text[start:end]
             if IDENTIFIER.fullmatch(word) or (HEX_ONLY.fullmatch(word) and len(word.removeprefix("0x")) in DIGEST_CHARS):
                 continue
             if len(word) < ratio * len(encoding.encode_ordinary(word)):
-                found.append((m.start(), 3, m.end()))
+                found.append((start, 3, end))
         spans += found
     return sorted(spans)
 
@@ -88,9 +102,9 @@ def find_secrets(
     """One row per input row: ``n_assign``, ``n_access``, ``n_hex``, ``n_random``, ``base_spans``, ``spans`` and
     ``redacted``, the text with every span replaced by ``[kind]`` (overlapping spans by the first one's kind).
 
-    ``ranks`` is a tiktoken rank file. A run of 20 or more key characters outside the fixed patterns is
+    ``ranks`` is a tiktoken rank file. A run of 20 or more key characters, or what fixed patterns leave of it, is
     ``random`` if it has fewer than ``ratio`` characters per token, unless it has the form of a digest (hex
-    digits of a digest's length) or of an identifier (universally unique id, number or date, words, numbered
+    digits of a digest's length) or of an identifier (universally unique id, number or date, numbered
     name). Spans are listed by start, then kind. Null and empty texts have none, repeated rows get a row
     each, a null id stays null, an empty table gives an empty result, other columns are not read.
     """
