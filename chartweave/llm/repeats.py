@@ -157,7 +157,7 @@ def _fragment_rows(rule: Rule, buckets: int):
                     symbols = block.symbols[at:end]
                     anchor, place, first, count = fragments(symbols, block.left[at:end], rule.size, rule.span)
                     content = RangeHash(symbols)(first, first + count + rule.size - 1) + (place - first).astype(np.uint64)
-                    parts.append((anchor >> np.uint64(16), content >> np.uint64(24), first + at, count, place - first))
+                    parts.append((anchor >> np.uint64(16), content, first + at, count, place - first))
                 if not parts:
                     continue
                 anchor, content, first, count, turn = (np.concatenate(c).astype(np.int64) for c in zip(*parts))

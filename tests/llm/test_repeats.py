@@ -5,7 +5,9 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 from chartweave.llm import queries, repeats
 from chartweave.llm.run_index import RunIndex, cut_earlier_bytes
@@ -83,6 +85,34 @@ def test_byte_query(spark):
     assert collected(queries.op1_run_index(spark, DATA)) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("earlier", [True, False])
+def test_fragments_settle_on_all_bits_of_their_content(monkeypatch, earlier):
+    class LowBits(repeats.RangeHash):
+        def __call__(self, start, end):
+            return super().__call__(start, end) & np.uint64((1 << 24) - 1)
+
+    monkeypatch.setattr(repeats, "RangeHash", LowBits)
+    phrase = b"The same frequent phrase of many documents. "
+    texts = [b"%03d " % (n * 7) * 10 + phrase + b" %03d" % (n * 11) * 10 for n in range(40)]
+    columns = {
+        "block": pa.array([0]), "ids": pa.array([list(range(40))]), "ends": pa.array([np.cumsum([len(t) for t in texts]).tolist()]),
+        "body": pa.array([zstandard.compress(b"".join(texts))]),
+    }
+    rule = repeats.Rule(words=False, size=50, span=20, earlier=earlier)
+    rows = [r for b in repeats._fragment_rows(rule, 1)([pa.record_batch(columns)]) for r in b.to_pylist()]
+    block = repeats.Block(pa.record_batch(columns), 0, rule)
+    known = {}
+    for doc, text in enumerate(texts):
+        for k in range(len(text) - 49):
+            known.setdefault(text[k : k + 50], []).append(doc)
+    for row in rows:
+        if row["kind"] == repeats.DONE:
+            for first, count in zip(*repeats.unpacked(row["data"], 2)):
+                for at in range(first, first + count):
+                    copies = known[block.raw[at : at + 50].tobytes()]
+                    assert min(copies) < block.owner(np.array([at]))[0] if earlier else len(copies) > 1
+
+
 def test_index_gives_first_documents():
     rng = random.Random(1)
     strings = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 40))).encode() for _ in range(60)]
