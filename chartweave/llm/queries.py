@@ -9,14 +9,17 @@ import public_tokenizers
 
 from .ann_forest import nearest
 from .common import table
+from .conversation_query import op13_turn_repair
 from .decontaminate import match_items
 from .minhash import near_duplicates
 from .mixing_query import OP8_SQL, op8_mix_sources
 from .run_index import cut_earlier_bytes
+from .runs_query import op12_periodic_runs
 from .seed_extend import cut_repeated_words
 from .secrets import find_secrets
 from .token_counts import count_tokens
 from .toxicity import held_out, learn_lexicon, score_toxicity
+from .url_query import OP11_SQL, op11_url_rules
 from .wrappers import extract_text
 
 TOXIC_FROM = 0.3
@@ -73,6 +76,21 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    q.__name__: q for q in (op1_run_index, op2_secret_scan, op3_minhash, op4_hash_forest, op5_page_wrappers, op6_decontaminate, op7_seed_extend, op8_mix_sources, op9_toxicity, op10_token_counts)
+    query.__name__: query
+    for query in (
+        op1_run_index,
+        op2_secret_scan,
+        op3_minhash,
+        op4_hash_forest,
+        op5_page_wrappers,
+        op6_decontaminate,
+        op7_seed_extend,
+        op8_mix_sources,
+        op9_toxicity,
+        op10_token_counts,
+        op11_url_rules,
+        op12_periodic_runs,
+        op13_turn_repair,
+    )
 }
-SQL = {"op8_mix_sources": OP8_SQL}
+SQL = {"op8_mix_sources": OP8_SQL, "op11_url_rules": OP11_SQL}
