@@ -27,7 +27,10 @@ def arguments() -> argparse.ArgumentParser:
     model.add_argument("--prefix", help="also keep the star tables in catalog databases with this name prefix")
     model.add_argument("--url", help="also append all batches that are not there yet to this JDBC database")
     model.add_argument("--property", action="append", default=[], metavar="NAME=VALUE", help="JDBC property")
+    merge = steps.add_parser("merge", help="merge all loaded batches into the stored rows of keyed star tables")
     for step in (ingest, transform, model):
+        step.add_argument("--resume", action="store_true", help="take over batches of jobs that were lost")
+    for step in (ingest, transform, model, merge):
         step.add_argument("--lake", required=True, help="root folder of all layers")
         step.add_argument("--source", choices=["local", "kafka"], default="local")
 
@@ -45,6 +48,9 @@ def main(argv: list[str] | None = None) -> int | None:
     if options.step == "images":
         return jobs.extract_images(spark, options.input, options.table, options.pixels)
     lake = Lake(options.lake)
+    if options.step == "merge":
+        return len(jobs.merge(spark, lake))
+    lease = 0.0 if options.resume else jobs.LEASE_HOURS
     if options.step == "ingest" and options.source == "kafka":
         if not (options.servers and options.topic and options.checkpoint):
             parser.error("--servers, --topic and --checkpoint are needed for source kafka")
@@ -54,10 +60,10 @@ def main(argv: list[str] | None = None) -> int | None:
     if options.step == "ingest":
         if not options.input:
             parser.error("--input is needed for source local")
-        return jobs.ingest(spark, lake, options.input, options.source, options.folders)
+        return jobs.ingest(spark, lake, options.input, options.source, options.folders, lease)
     if options.step == "transform":
-        return jobs.transform(spark, lake, options.source, options.database)
-    batch_id = jobs.model(spark, lake, options.source, options.prefix)
+        return jobs.transform(spark, lake, options.source, options.database, lease)
+    batch_id = jobs.model(spark, lake, options.source, options.prefix, lease)
     if options.url:
         properties = dict(p.split("=", 1) for p in options.property)
         jobs.export(spark, lake, options.url, properties, options.source)

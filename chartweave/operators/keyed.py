@@ -1,7 +1,8 @@
 """Deduplication and keyed last-write-wins merging.
 
-Everything here is an aggregate with map-side combine, so a key that holds a large share of all rows is
-reduced before the shuffle and never gathered in one task.
+These are aggregates with map-side combine, so a key that holds a large share of all rows is reduced before the
+shuffle and never gathered in one task. The exception are callers that say a key has few rows (``unique``): their
+rows are shuffled and sorted once as they are, which is cheaper, but puts all rows of a key into one task.
 """
 
 from __future__ import annotations
@@ -76,17 +77,62 @@ def latest_per_key(
     return merged.select(*[pick(c) for c in df.columns if c not in order])
 
 
+def key_states(
+    df: DataFrame, keys: list[str], order: list[str], keep_first: bool = False, repeats: bool = False
+) -> DataFrame:
+    """``(keys, last[, first])``: per key its last row by ``order`` (ties: largest remaining columns), and its first.
+
+    States can be merged in any order (:func:`union_states`): the result is that of all their rows at once.
+    """
+    payload = [c for c in df.columns if c not in (*keys, *order)]
+    rows = df.dropna(subset=list(keys))
+    row = F.struct(*order, *payload)
+    aggregates = [F.max(row).alias("last"), *([F.min(row).alias("first")] if keep_first else [])]
+    if not repeats:
+        return rows.groupBy(*keys).agg(*aggregates)
+    return _counted(rows).groupBy(*keys).agg(*aggregates, F.sum("_n").alias("_n")).where(F.col("_n") > 0).drop("_n")
+
+
+def union_states(states: DataFrame, keys: list[str]) -> DataFrame:
+    """One state per key."""
+    first = [F.min("first").alias("first")] if "first" in states.columns else []
+    return states.groupBy(*keys).agg(F.max("last").alias("last"), *first)
+
+
+def with_newer_states(states: DataFrame, newer: DataFrame, keys: list[str]) -> DataFrame:
+    """All states after newer ones, each side with one state per key.
+
+    Joins rather than an aggregate over both: few newer states are broadcast, and the others are not shuffled.
+    """
+    renamed = newer.withColumnsRenamed({c: f"_{c}" for c in newer.columns if c not in keys})
+    picked = {"last": F.greatest, "first": F.least}
+    columns = [
+        picked[c](F.col(c), F.col(f"_{c}")).alias(c) if c in picked else F.col(c) for c in states.columns
+    ]
+    changed = states.join(renamed, keys, "left").select(*columns)
+    return changed.unionByName(newer.join(states.select(*keys), keys, "left_anti"))
+
+
+def state_rows(states: DataFrame, keys: list[str], columns: list[str], keep_first: tuple[str, ...] = ()) -> DataFrame:
+    """The rows that states stand for; columns in ``keep_first`` have their first value."""
+    return states.select(
+        *[F.col(c) if c in keys else F.col("first" if c in keep_first else "last")[c].alias(c) for c in columns]
+    )
+
+
 def upsert_merge(
     target: DataFrame,
     updates: DataFrame,
     keys: list[str],
     order: list[str],
     update_cols: list[str] | None = None,
+    repeats: bool = False,
 ) -> DataFrame:
     """The target after all updates: matched keys take the last update, new keys are added.
 
     ``order`` names columns of ``updates`` that give their sequence; target rows are older than all of
-    them. Columns outside ``update_cols`` keep the value the key came in with.
+    them. Columns outside ``update_cols`` keep the value the key came in with. Both sides are shuffled and sorted
+    once; ``repeats`` says that some keys have very many updates, so they are reduced before the shuffle.
     """
     columns = target.columns
     values = [c for c in columns if c not in keys]
@@ -94,7 +140,7 @@ def upsert_merge(
     old = target.select(F.lit(0).alias("_new"), *columns)
     new = updates.select(F.lit(1).alias("_new"), *order, *columns)
     both = new.unionByName(old, allowMissingColumns=True)
-    return latest_per_key(both, keys, ["_new", *order], kept).select(*columns)
+    return latest_per_key(both, keys, ["_new", *order], kept, unique=not repeats).select(*columns)
 
 
 def rows_without_key(df: DataFrame, *keys: str) -> DataFrame:

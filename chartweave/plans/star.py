@@ -312,14 +312,26 @@ def star_table(details: DataFrame, table: StarTable) -> DataFrame:
     return current_rows(model_table(details, table), table)
 
 
+def create_star_databases(spark: SparkSession, prefix: str = "") -> None:
+    for group in dict.fromkeys(t.group for t in STAR.values()):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{group}")
+
+
 def create_star_tables(spark: SparkSession, location: str, prefix: str = "") -> list[str]:
     """Define the four databases and thirty empty tables, replacing what is there."""
     names = []
-    for group in dict.fromkeys(t.group for t in STAR.values()):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{group}")
+    create_star_databases(spark, prefix)
     for table in STAR.values():
         name = f"{prefix}{table.full_name}"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(f"CREATE TABLE {name} ({table.ddl}) USING parquet LOCATION '{location}/{table.full_name}'")
         names.append(name)
     return names
+
+
+def create_batch_table(spark: SparkSession, table: StarTable, prefix: str = "") -> None:
+    """Define the table with its declared types, split by source and batch, where there is none."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {prefix}{table.full_name} ({table.ddl}, source STRING, {BATCH} INT) "
+        f"USING orc PARTITIONED BY (source, {BATCH})"
+    )

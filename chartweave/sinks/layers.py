@@ -16,20 +16,14 @@ ROWS_PER_FILE = 5_000_000
 
 
 def write_bronze(entries: DataFrame, lake: Lake, source: str, batch_id: int | None = None) -> None:
-    """Entries by resource type, written from the scan: no shuffle, a file per task and type.
+    """Entries by resource type, written from the scan: no shuffle, a file per task and type. Bundles that could not
+    be loaded are stored in the same pass, under a type of their own.
 
     Without ``batch_id`` the rows name their batches in a column of that name.
     """
     _write(entries, lake.bronze(source), batch_id, "resource_type")
 
 
-def write_rejects(rows: DataFrame, lake: Lake, source: str, batch_id: int) -> int:
-    """The batch's broken bundles as text beside it; returns their number."""
-    folder = Lake.batch(lake.rejects(source), batch_id)
-    rows.write.mode("overwrite").parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder).count()
-
-
 def write_detail(rows: DataFrame, lake: Lake, name: str, source: str, batch_id: int | None = None) -> None:
     _write(rows, f"{lake.detail(name)}/source={source}", batch_id)
 

@@ -9,6 +9,9 @@ from ..schemas import BUNDLE_DDL
 
 
 BROKEN = "_broken"
+#: the type under which bundles that can't be loaded are stored beside their batch's entries
+REJECTED = "_rejected"
+REJECT_DDL = "STRUCT<path: STRING, n_entries: INT, text: STRING>"
 
 
 def read_bundles(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
@@ -33,6 +36,26 @@ def rejected_bundles(bundles: DataFrame) -> DataFrame:
     )
 
 
+def bundle_rows(bundles: DataFrame) -> DataFrame:
+    """All that bundles hold, from one parse: ``(resource_type, data, reject)``.
+
+    An entry is a row without ``reject``. A bundle that can't be loaded as it is is one row of the type
+    ``REJECTED`` with its ``path``, the number of entries that could be read, and its text.
+    """
+    whole = F.col(BROKEN).isNull()
+    reject = F.struct(
+        F.input_file_name().alias("path"),
+        F.coalesce(F.size("entry"), F.lit(0)).alias("n_entries"),
+        F.col(BROKEN).alias("text"),
+    )
+    rows = bundles.select(
+        F.explode_outer(F.when(whole, F.col("entry"))).alias("entry"), F.when(~whole, reject).alias("reject")
+    )
+    kind = F.when(F.col("reject").isNotNull(), REJECTED).otherwise(F.col("entry.resource.resourceType"))
+    rows = rows.select(kind.alias("resource_type"), F.col("entry.resource").alias("data"), "reject")
+    return rows.dropna(subset=["resource_type"])
+
+
 def read_json_inferred(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
     """Exploration only: the schema comes from a pass over the data."""
     return spark.read.option("multiLine", multi_line).json(paths)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.star import STAR, StarTable, current_rows
 from ..schemas import RESOURCE_DDL
+from .bundles import REJECT_DDL, REJECTED
+from .snapshot import read_merged
 
 
 @dataclass(frozen=True)
@@ -21,15 +23,15 @@ class Lake:
     def bronze(self, source: str) -> str:
         return f"{self.root}/bronze/{source}"
 
-    def rejects(self, source: str) -> str:
-        return f"{self.root}/rejects/{source}"
-
     def detail(self, name: str) -> str:
         return f"{self.root}/silver/{name}"
 
     def star(self, table: StarTable) -> str:
         return f"{self.root}/gold/{table.full_name}"
 
+    def merged(self, table: StarTable) -> str:
+        return f"{self.root}/merged/{table.full_name}"
+
     @staticmethod
     def batch(folder: str, batch_id: int) -> str:
         return f"{folder}/batch_id={batch_id}"
@@ -37,11 +39,20 @@ class Lake:
 
 def read_bronze(spark: SparkSession, lake: Lake, source: str, batch_id: int | None = None) -> DataFrame:
     """``(batch_id, resource_type, data)``; the first two are folder names, so filters on them prune files."""
-    schema = f"data {RESOURCE_DDL}, batch_id INT, resource_type STRING"
+    rows = _bronze(spark, lake, source, batch_id, f"data {RESOURCE_DDL}")
+    return rows.where(rows.resource_type != REJECTED).select("batch_id", "resource_type", "data")
+
+
+def read_rejects(spark: SparkSession, lake: Lake, source: str, batch_id: int | None = None) -> DataFrame:
+    """``(batch_id, path, n_entries, text)`` of the bundles that could not be loaded."""
+    rows = _bronze(spark, lake, source, batch_id, f"reject {REJECT_DDL}")
+    return rows.where(rows.resource_type == REJECTED).select("batch_id", "reject.*")
+
+
+def _bronze(spark: SparkSession, lake: Lake, source: str, batch_id: int | None, column: str) -> DataFrame:
     folder = lake.bronze(source)
-    reader = spark.read.schema(schema).option("basePath", folder)
-    path = folder if batch_id is None else lake.batch(folder, batch_id)  # only this batch is listed
-    rows = reader.parquet(path).select("batch_id", "resource_type", "data")
+    reader = spark.read.schema(f"{column}, batch_id INT, resource_type STRING").option("basePath", folder)
+    rows = reader.parquet(folder if batch_id is None else lake.batch(folder, batch_id))  # only this batch is listed
     return rows if batch_id is None else rows.where(rows.batch_id == batch_id)
 
 
@@ -66,6 +77,13 @@ def read_detail(
 
 
 def read_star(spark: SparkSession, lake: Lake, table: StarTable | str) -> DataFrame:
-    """The current rows of a star table over all loaded batches."""
+    """The current rows of a star table over all loaded batches.
+
+    Of a keyed table that has been merged, only the merged rows and the batches after them are listed and read.
+    """
     table = STAR[table] if isinstance(table, str) else table
+    if table.key is not None:
+        merged = read_merged(spark, lake.star(table), lake.merged(table), table)
+        if merged is not None:
+            return merged
     return current_rows(read_batches(spark, lake.star(table)), table)

@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.details import build
+from ..plans.jobs import run_each, store_bundles
 from ..plans.ledger import Ledger
-from ..plans.star import STAR, load_rows
+from ..plans.star import STAR, StarTable, load_rows
 from ..schemas import BUNDLE_DDL
-from ..sinks.layers import write_bronze, write_rejects, write_star
-from ..sources.bundles import BROKEN, bundle_entries, parse_bundles, rejected_bundles, whole_bundles
-from ..sources.layers import Lake
+from ..sinks.layers import write_star
+from ..sources.bundles import BROKEN, parse_bundles
+from ..sources.layers import Lake, read_bronze
 
 SOURCE = "stream"
 
@@ -53,39 +53,36 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
 def ingest_stream(spark: SparkSession, bundles: DataFrame, lake: Lake, checkpoint: str, source: str = SOURCE):
     """Each micro-batch becomes the bronze batch of its epoch number. A replayed epoch overwrites itself.
 
-    Bundles that can't be read go to the epoch's reject folder, and the ledger counts them.
+    A micro-batch is parsed once; bundles that can't be read are kept with it, and the ledger counts them.
     """
     ledger = Ledger(spark, lake.root)
 
     def each(batch: DataFrame, epoch: int) -> None:
-        write_bronze(bundle_entries(whole_bundles(batch)), lake, source, epoch)
-        ledger.record_rejects(epoch, source, write_rejects(rejected_bundles(batch), lake, source, epoch))
+        store_bundles(batch, lake, source, epoch, ledger)
         ledger.record("bronze", epoch, source)
 
     return run_available(bundles, checkpoint, each)
 
 
 def upsert_stream(
-    spark: SparkSession, entries: DataFrame, tables: list[str], lake: Lake, checkpoint: str, source: str = SOURCE
+    spark: SparkSession, bundles: DataFrame, tables: list[str], lake: Lake, checkpoint: str, source: str = SOURCE
 ):
-    """Each micro-batch of ``(resource_type, data)`` rows goes straight into the named star tables.
+    """Each micro-batch of bundles goes into the named star tables, by way of its bronze batch.
 
-    The epoch is the batch id that orders updates, so readers see the last write per key.
+    An epoch's load number is written down before its rows. An epoch that is replayed, after whatever other loads,
+    keeps it, so its rows stay behind theirs. Broken bundles are kept and counted as in :func:`ingest_stream`.
     """
     ledger = Ledger(spark, lake.root)
 
     def each(batch: DataFrame, epoch: int) -> None:
-        bronze = batch.withColumn("batch_id", F.lit(epoch).cast("int"))
-        if len(tables) > 1:
-            bronze.persist()  # parse the micro-batch once for all tables
-        sequence = ledger.next_load()
-        try:
-            for name in tables:
-                table = STAR[name]
-                write_star(load_rows(build(table.source, bronze), table), lake, table, source, epoch, sequence)
-        finally:
-            bronze.unpersist()
-        ledger.record("gold", epoch, source)
+        store_bundles(batch, lake, source, epoch, ledger)
+        ledger.record("bronze", epoch, source)
+        bronze, number = read_bronze(spark, lake, source, epoch), ledger.load_number(epoch, source)
 
-    return run_available(entries, checkpoint, each)
+        def load(_: str, table: StarTable) -> None:
+            write_star(load_rows(build(table.source, bronze), table), lake, table, source, epoch, number)
 
+        run_each({name: STAR[name] for name in tables}, load)
+        ledger.record("gold", epoch, source)
+
+    return run_available(bundles, checkpoint, each)
