@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from chartweave.functions import epoch_label
 from chartweave.operators.imaging import dicom_images, dicom_metadata, imaging_inventory
 from chartweave.plans.details import DETAILS, build
-from chartweave.plans.jobs import run_each
+from chartweave.plans.jobs import run_each, store_bundles
 from chartweave.plans.ledger import Ledger, last_batch, next_batch, of_source, oldest, pending_batches
-from chartweave.plans.star import STAR, create_star_tables, load_rows, model_table
+from chartweave.plans.star import STAR, create_star_tables, load_rows, model_table, star_table
 from chartweave.session import scratch_folder
 from chartweave.sinks.jdbc import jdbc_rows
 from chartweave.sinks.layers import save_image_table, write_bronze, write_detail, write_star
+from chartweave.sinks.snapshot import merge_batches
 from chartweave.sources.bundles import (
     bundle_entries,
     parse_bundles,
@@ -27,9 +28,9 @@ from chartweave.sources.bundles import (
     rejected_bundles,
     whole_bundles,
 )
-from chartweave.sources.file_batches import batch_files
+from chartweave.sources.file_batches import next_folders, outer_folder
 from chartweave.sources.images import read_images
-from chartweave.sources.layers import Lake, read_bronze, read_detail, read_star
+from chartweave.sources.layers import Lake, read_bronze, read_detail, read_rejects, read_star
 from chartweave.streaming.ingest import bundle_file_stream, ingest_stream, upsert_stream
 
 from .oracle_details import DETAIL_SQL, moment
@@ -41,6 +42,8 @@ SOURCE = "local"
 # size of the stream queries' files and epochs
 BUNDLES_PER_FILE = 50_000
 FILES_PER_EPOCH = 64
+# bundles of a file that is one JSON array
+BUNDLES_PER_ARRAY = 1000
 
 
 def scratch(t: Tables) -> str:
@@ -64,6 +67,41 @@ def scan_bundle_json(t: Tables) -> DataFrame:
     return entry_ids(bundle_entries(read_bundles(t.spark, folder, multi_line=False)))
 
 
+@query("scan_bundle_multiline", ENTRY_SQL)
+def scan_bundle_multiline(t: Tables) -> DataFrame:
+    """Files that hold their bundles as one JSON value over many lines."""
+    folder = scratch(t)
+    number = F.regexp_extract("value", "enc-([0-9]+)", 1).cast("bigint")
+    spread = F.regexp_replace("value", '(?<="),(?=")', ",\n ")
+    files = bundles(t).groupBy(F.floor(number / BUNDLES_PER_ARRAY).alias("part")).agg(F.collect_list(spread).alias("texts"))
+    text = F.concat(F.lit("[\n"), F.array_join("texts", ",\n"), F.lit("\n]"))
+    files.select("part", text.alias("value")).write.partitionBy("part").text(folder)
+    return entry_ids(bundle_entries(read_bundles(t.spark, folder)))
+
+
+@query(
+    "sink_rejects",
+    """SELECT 'entry' AS kind, 2 * count(*) FILTER (WHERE o_orderkey % 10 <> 3) AS n FROM orders
+       UNION ALL SELECT 'rejected', count(*) FILTER (WHERE o_orderkey % 10 = 3) FROM orders
+       UNION ALL SELECT 'in the ledger', count(*) FILTER (WHERE o_orderkey % 10 = 3) FROM orders""",
+)
+def sink_rejects(t: Tables) -> DataFrame:
+    """Bundles of which some are cut off, parsed once into a batch of entries and rejects."""
+    folder = scratch(t)
+    number = F.regexp_extract("value", "enc-([0-9]+)", 1).cast("bigint")
+    cut = F.expr("substring(value, 1, length(value) - 20)")
+    bundles(t).select(F.when(number % 10 == 3, cut).otherwise(F.col("value"))).write.text(f"{folder}/in")
+    lake, ledger = Lake(f"{folder}/lake"), Ledger(t.spark, f"{folder}/lake")
+    store_bundles(read_bundles(t.spark, f"{folder}/in", multi_line=False), lake, SOURCE, 0, ledger)
+    entries = read_bronze(t.spark, lake, SOURCE, 0).where(F.col("data.id").isNotNull())
+    counted = [
+        entries.agg(F.count("*").alias("n")).select(F.lit("entry").alias("kind"), "n"),
+        read_rejects(t.spark, lake, SOURCE, 0).agg(F.count("text").alias("n")).select(F.lit("rejected").alias("kind"), "n"),
+        ledger.rejects(SOURCE).select(F.lit("in the ledger").alias("kind"), F.col("n_rejected").alias("n")),
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query(
     "scan_bundle_rejects",
     """SELECT CASE WHEN o_orderkey % 10 IN (3, 7) THEN 'rejected' ELSE 'whole' END AS kind, count(*) AS n_bundles,
@@ -100,8 +138,13 @@ def scan_json_infer(t: Tables) -> DataFrame:
        FROM documents""",
 )
 def plan_file_batches(t: Tables) -> DataFrame:
-    paths = t.documents.select(F.concat_ws("/", F.lit("/data"), "source", "lang", F.concat("doc_id", F.lit(".json"))).alias("path"))
-    return batch_files(paths, "/data")
+    """Batches planned one after another as the ingest job does, until no folder is left."""
+    path = F.concat_ws("/", F.lit("/data"), "source", "lang", F.concat("doc_id", F.lit(".json")))
+    files = t.documents.select(path.alias("path")).withColumn("outer", outer_folder(F.col("path"), "/data"))
+    folders, ledger = files.select("outer").distinct(), Ledger(t.spark, scratch(t))
+    while ledger.claim_folders(SOURCE, lambda taken: next_folders(folders, taken)):
+        pass
+    return files.join(ledger.folders(SOURCE), "outer").select("batch_id", "path")
 
 
 BRONZE_SQL = {
@@ -204,19 +247,64 @@ def sink_modeled_all(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, [summary(name, table) for name, table in STAR.items()])
 
 
-@query("gold_ddl_cast", STAR_SQL["fact_dispense_request"])
+@query(
+    "gold_ddl_cast",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{column}' AS column_name, '{field.type}' AS data_type, count(*) AS n_rows, "
+        f"count(\"{column}\") AS n_values, CAST(min(\"{column}\") AS VARCHAR) AS least FROM ({STAR_SQL[name]})"
+        if field.type in ("string", "int", "date")
+        else f"SELECT '{name}', '{column}', '{field.type}', count(*), count(\"{column}\"), NULL FROM ({STAR_SQL[name]})"
+        for name, table in STAR.items()
+        for column, field in table.fields.items()
+    ),
+)
 def gold_ddl_cast(t: Tables) -> DataFrame:
-    """Rows stored in a table of the defined star schema, under its declared column types."""
-    table = STAR["fact_dispense_request"]
+    """All tables of the defined star schema filled, and what they hold under their declared column types."""
     folder = scratch(t)
     prefix = folder.rsplit("/", 1)[1].replace("-", "_") + "_"
     create_star_tables(t.spark, folder, prefix)
-    rows = load_rows(build(table.source, RECORDS["MedicationRequest"](t)), table).select(*table.columns)
-    rows.write.insertInto(f"{prefix}{table.full_name}")
-    stored = t.spark.read.schema(table.ddl).parquet(f"{folder}/{table.full_name}")
+
+    def fill(_: str, table) -> None:
+        details = build(table.source, RECORDS[DETAILS[table.source].resource](t))
+        star_table(details, table).write.insertInto(f"{prefix}{table.full_name}")
+
+    def summary(name: str, table) -> DataFrame:
+        stored = t.spark.read.schema(table.ddl).parquet(f"{folder}/{table.full_name}")
+        counts, fields = [F.count(F.lit(1)).alias("n_rows")], []
+        for place, (column, field) in enumerate(table.fields.items()):
+            plain = field.type in ("string", "int", "date")
+            least = F.min(column).cast("string") if plain else F.max(F.lit(None).cast("string"))
+            counts += [F.count(column).alias(f"n{place}"), least.alias(f"l{place}")]
+            texts = {"table_name": name, "column_name": column, "data_type": stored.schema[column].dataType.simpleString()}
+            values = [F.col("n_rows"), F.col(f"n{place}").alias("n_values"), F.col(f"l{place}").alias("least")]
+            fields.append(F.struct(*(F.lit(v).alias(k) for k, v in texts.items()), *values))
+        return stored.agg(*counts).select(F.inline(F.array(*fields)))
+
+    run_each(STAR, fill)
     for group in dict.fromkeys(s.group for s in STAR.values()):
         t.spark.sql(f"DROP DATABASE {prefix}{group} CASCADE")  # the definitions; the files stay in their folder
-    return stored
+    return reduce(DataFrame.unionByName, [summary(name, table) for name, table in STAR.items()])
+
+
+def read_after_merges(t: Tables, name: str) -> DataFrame:
+    """A keyed table of three batches: the second and then the first are merged, the third is not."""
+    lake, table = Lake(scratch(t)), STAR[name]
+    rows = load_rows(build(table.source, RECORDS[DETAILS[table.source].resource](t)), table)
+    write_star(rows, lake, table, SOURCE)
+    for batch_id in (1, 0):
+        merge_batches(t.spark, lake, table, [(SOURCE, batch_id)])
+    return read_star(t.spark, lake, table)
+
+
+@query("merged_facts", STAR_SQL["fact_encounter"])
+def merged_facts(t: Tables) -> DataFrame:
+    return read_after_merges(t, "fact_encounter")
+
+
+@query("merged_codes", STAR_SQL["dim_condition_code"])
+def merged_codes(t: Tables) -> DataFrame:
+    """Merged rows of a table in which one column keeps its first value."""
+    return read_after_merges(t, "dim_condition_code")
 
 
 # --- images --------------------------------------------------------------------------------------
@@ -391,6 +479,20 @@ def ledger_create(t: Tables) -> DataFrame:
     return pending_batches(ledgers(t)["bronze"], ledger.read("silver"), "local")
 
 
+@query(
+    "ledger_claims",
+    f"""SELECT batch_id, source, dense_rank() OVER (ORDER BY save_ts, batch_id, source) AS load
+        FROM (SELECT batch_id, source, min(save_ts) AS save_ts FROM {LEDGER_SQL} GROUP BY 1, 2)""",
+)
+def ledger_claims(t: Tables) -> DataFrame:
+    """Load numbers of all batches in the order of their first save; each is asked for twice."""
+    ledger = Ledger(t.spark, scratch(t))
+    first = ledgers(t)["bronze"].groupBy("batch_id", "source").agg(F.min("save_ts").alias("save_ts"))
+    batches = [(r.batch_id, r.source) for r in first.orderBy("save_ts", "batch_id", "source").collect()]
+    numbers = [(*batch, ledger.load_number(*batch)) for _ in range(2) for batch in batches]
+    return t.spark.createDataFrame(numbers, "batch_id INT, source STRING, load BIGINT").distinct()
+
+
 @query(
     "ledger_append",
     """SELECT CAST(max(o_orderkey % 97) AS INTEGER) AS batch_id, 'local' AS source, true AS has_time FROM orders
@@ -448,7 +550,7 @@ def stream_upsert(t: Tables) -> DataFrame:
     for texts in (old, bundles(t)):
         texts.write.mode("append").option("maxRecordsPerFile", BUNDLES_PER_FILE).text(f"{folder}/in")
         stream = bundle_file_stream(t.spark, f"{folder}/in", multi_line=False, files_per_batch=FILES_PER_EPOCH)
-        upsert_stream(t.spark, bundle_entries(stream), ["fact_encounter"], lake, f"{folder}/progress")
+        upsert_stream(t.spark, stream, ["fact_encounter"], lake, f"{folder}/progress")
     rows = read_star(t.spark, lake, "fact_encounter")
     return rows.select("encounter_key", "encounter_status", "encounter_type_key", "period_start")
 
