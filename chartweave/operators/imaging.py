@@ -47,17 +47,32 @@ class HeaderError(ValueError):
     pass
 
 
-def _element(data: memoryview, at: int, explicit: bool) -> tuple[tuple[int, int], int, int]:
+#: longest value that is read; the wanted header fields have 64 characters at most
+LONGEST_TEXT = 1 << 20
+
+
+class InMemory:
+    """The bytes of a whole file by offset, as a file that is read in ranges gives them."""
+
+    def __init__(self, data: memoryview):
+        self._data, self.size = data, len(data)
+
+    def at(self, offset: int, length: int) -> memoryview:
+        return self._data[offset : offset + length]
+
+
+def _element(data, at: int, explicit: bool) -> tuple[tuple[int, int], int, int]:
     """Tag, value length and value offset of the element at ``at``."""
-    group, number = struct.unpack_from("<HH", data, at)
+    head = data.at(at, 12)
+    group, number = struct.unpack_from("<HH", head, 0)
     if group == 0xFFFE or not explicit:
-        return (group, number), struct.unpack_from("<I", data, at + 4)[0], at + 8
-    if bytes(data[at + 4 : at + 6]) in LONG_FORMS:
-        return (group, number), struct.unpack_from("<I", data, at + 8)[0], at + 12
-    return (group, number), struct.unpack_from("<H", data, at + 6)[0], at + 8
+        return (group, number), struct.unpack_from("<I", head, 4)[0], at + 8
+    if bytes(head[4:6]) in LONG_FORMS:
+        return (group, number), struct.unpack_from("<I", head, 8)[0], at + 12
+    return (group, number), struct.unpack_from("<H", head, 6)[0], at + 8
 
 
-def _skip_sequence(data: memoryview, at: int, explicit: bool) -> int:
+def _skip_sequence(data, at: int, explicit: bool) -> int:
     """Offset behind a sequence or item of undefined length."""
     depth = 1
     while depth:
@@ -71,15 +86,22 @@ def _skip_sequence(data: memoryview, at: int, explicit: bool) -> int:
     return at
 
 
-def read_elements(data: memoryview, wanted: dict[tuple[int, int], str], last: tuple[int, int]) -> dict[str, bytes]:
-    """Raw values of the wanted top-level fields, up to the tag ``last``."""
-    if len(data) < 132 or bytes(data[128:132]) != b"DICM":
+def read_elements(
+    data, wanted: dict[tuple[int, int], str], last: tuple[int, int], longest: int | None = None
+) -> dict[str, bytes]:
+    """Raw values of the wanted top-level fields, up to the tag ``last``.
+
+    ``data`` is a file's content, or gives its bytes by offset (``size`` and ``at``). Of other fields only the tag and
+    length are looked at.
+    """
+    data = data if hasattr(data, "at") else InMemory(data)
+    if data.size < 132 or bytes(data.at(128, 4)) != b"DICM":
         raise HeaderError("not an image file: no DICM marker")
     found: dict[str, bytes] = {}
     at, syntax = 132, EXPLICIT_LITTLE
     try:
-        while at + 8 <= len(data):
-            in_meta = struct.unpack_from("<H", data, at)[0] == 0x0002
+        while at + 8 <= data.size:
+            in_meta = struct.unpack_from("<H", data.at(at, 2), 0)[0] == 0x0002
             if not in_meta and syntax not in (EXPLICIT_LITTLE, IMPLICIT_LITTLE):
                 raise HeaderError(f"transfer syntax {syntax} is not supported")
             explicit = in_meta or syntax == EXPLICIT_LITTLE
@@ -89,12 +111,16 @@ def read_elements(data: memoryview, wanted: dict[tuple[int, int], str], last: tu
             if length == UNDEFINED:
                 at = _skip_sequence(data, at, explicit)
                 continue
-            if at + length > len(data):
+            if at + length > data.size:
                 raise HeaderError("header ends inside an element")
-            if tag in wanted:
-                found[wanted[tag]] = bytes(data[at : at + length])
-            elif tag == TRANSFER_SYNTAX:
-                syntax = _text(data[at : at + length])
+            if tag in wanted or tag == TRANSFER_SYNTAX:
+                if longest is not None and length > longest:
+                    raise HeaderError(f"a header field of {length} bytes")
+                value = bytes(data.at(at, length))
+                if tag in wanted:
+                    found[wanted[tag]] = value
+                else:
+                    syntax = _text(value)
             at += length
     except struct.error as problem:
         raise HeaderError("header ends inside an element") from problem
@@ -105,9 +131,9 @@ def _text(value: bytes | memoryview) -> str:
     return bytes(value).decode("latin-1").strip(" \0")
 
 
-def read_header(data: memoryview) -> dict[str, str]:
+def read_header(data) -> dict[str, str]:
     """The wanted header fields of one file; raises :class:`HeaderError` for anything unreadable."""
-    return {name: _text(value) for name, value in read_elements(data, TAGS, LAST_TAG).items()}
+    return {name: _text(value) for name, value in read_elements(data, TAGS, LAST_TAG, LONGEST_TEXT).items()}
 
 
 def read_pixels(data: memoryview) -> np.ndarray | None:

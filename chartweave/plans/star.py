@@ -143,15 +143,26 @@ _table(
 )
 
 # --- clinical ------------------------------------------------------------------------------------
-for _dim, _source, _noun in (
-    ("dim_vaccine_code", "vaccine_code", "vaccine"),
-    ("dim_procedure_type", "procedure_type", "procedure_type"),
-    ("dim_observation_code", "observation_code", "observation"),
-    ("dim_diagnostic_code", "diagnostic_code", "diagnostic"),
-    ("dim_medication", "medication", "medication"),
-):
-    _code = "procedure_type_key" if _noun == "procedure_type" else f"{_noun}_code_key"
-    _table("clinical", _dim, _source, key=_code, **{_code: "code", f"{_noun}_name": "display"})
+_table(
+    "clinical", "dim_vaccine_code", "vaccine_code", key="vaccine_code_key",
+    vaccine_code_key="code", vaccine_name="display",
+)
+_table(
+    "clinical", "dim_procedure_type", "procedure_type", key="procedure_type_key",
+    procedure_type_key="code", procedure_type_name="display",
+)
+_table(
+    "clinical", "dim_observation_code", "observation_code", key="observation_code_key",
+    observation_code_key="code", observation_name="display",
+)
+_table(
+    "clinical", "dim_diagnostic_code", "diagnostic_code", key="diagnostic_code_key",
+    diagnostic_code_key="code", diagnostic_name="display",
+)
+_table(
+    "clinical", "dim_medication", "medication", key="medication_code_key",
+    medication_code_key="code", medication_name="display",
+)
 _table(
     "clinical", "dim_condition_code", "condition_code", key="condition_code_key",
     keep_first=["condition_category"],
@@ -235,11 +246,14 @@ _table(
 )
 
 # --- care ----------------------------------------------------------------------------------------
-for _noun in ("category", "activity"):
-    _table(
-        "care", f"dim_careplan_{_noun}", f"careplan_{_noun}", key=f"careplan_{_noun}_key",
-        **{f"careplan_{_noun}_key": "code", f"careplan_{_noun}_name": "display"},
-    )
+_table(
+    "care", "dim_careplan_category", "careplan_category", key="careplan_category_key",
+    careplan_category_key="code", careplan_category_name="display",
+)
+_table(
+    "care", "dim_careplan_activity", "careplan_activity", key="careplan_activity_key",
+    careplan_activity_key="code", careplan_activity_name="display",
+)
 _table(
     "care", "fact_careplan", "careplan",
     patient_key="patient_id", encounter_key="encounter_id", address_key="address_id",

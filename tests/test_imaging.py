@@ -5,6 +5,7 @@ import struct
 import pytest
 
 from chartweave.operators.imaging import HeaderError, dicom_images, dicom_metadata, read_header, read_pixels
+from chartweave.sources.image_headers import BLOCK, read_image_headers
 from chartweave.sources.images import read_images
 
 
@@ -103,3 +104,40 @@ def test_image_rows(spark):
     assert got["a"]["image_data"] == ["9", "8"] and got["a"]["error"] is None
     assert got["b"]["image_data"] is None and got["b"]["metadata"] is None and "DICM" in got["b"]["error"]
     assert got["c"]["image_data"] is None and got["c"]["metadata"] is not None and "fewer" in got["c"]["error"]
+
+
+def test_files_of_any_size_are_read_in_ranges(spark, tmp_path):
+    """A sparse file of 5 GB, a header with a value of 300 MB before the last field, and many small files."""
+    (tmp_path / "many").mkdir()
+    for n in range(25):
+        (tmp_path / "many" / f"{n:02d}.dcm").write_bytes(image(body=element(8, 0x60, b"CS", b"CT")))
+    with open(tmp_path / "large.dcm", "wb") as out:
+        out.write(image())
+        out.truncate(5 << 30)
+    with open(tmp_path / "gap.dcm", "wb") as out:
+        skipped = struct.pack("<HH", 9, 1) + b"OB\0\0" + struct.pack("<I", 300 << 20)
+        out.write(image()[:132] + element(2, 0x10, b"UI", b"1.2.840.10008.1.2.1\0") + element(8, 0x60, b"CS", b"MR") + skipped)
+        out.seek(300 << 20, 1)
+        out.write(element(0x10, 0x20, b"LO", b"behind"))
+    (tmp_path / "none.dcm").write_bytes(b"")
+    (tmp_path / "other.txt").write_bytes(image())
+    frame = read_image_headers(spark, str(tmp_path), files_per_task=10)
+    assert frame.rdd.getNumPartitions() == 3
+    found = {r.file_path.rsplit("/", 1)[1]: r for r in frame.collect()}
+    assert len(found) == 28 and all(r.bytes_read <= 2 * BLOCK for r in found.values())
+    assert (found["large.dcm"].metadata.PatientID, found["large.dcm"].bytes_read) == ("patient-1", BLOCK)
+    assert (found["gap.dcm"].metadata.PatientID, found["gap.dcm"].metadata.Modality) == ("behind", "MR")
+    assert found["03.dcm"].metadata.Modality == "CT" and "no DICM marker" in found["none.dcm"].error
+    from_content = dicom_metadata(read_images(spark, str(tmp_path / "many"))).select("metadata", "error")
+    assert sorted(from_content.collect()) == sorted((r.metadata, r.error) for n, r in found.items() if n[0].isdigit())
+
+
+def test_a_field_longer_than_any_text_is_an_error(spark, tmp_path):
+    head = image(b"1.2.840.10008.1.2", False)
+    at = head.index(struct.pack("<HH", 0x10, 0x20))
+    with open(tmp_path / "odd.dcm", "wb") as out:
+        out.write(head[: at + 4] + struct.pack("<I", 1 << 30))
+        out.truncate(2 << 30)
+    row = read_image_headers(spark, f"file://{tmp_path}").first()
+    assert row.metadata is None and "bytes" in row.error and row.bytes_read <= BLOCK
+    assert read_image_headers(spark, str(tmp_path), "*.none").count() == 0

@@ -1,8 +1,16 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from chartweave.operators.joins import fk_violations, full_outer_coalesce, left_join_child, star_join, star_report
+from chartweave.operators.joins import (
+    fk_report,
+    fk_violations,
+    full_outer_coalesce,
+    left_join_child,
+    star_join,
+    star_report,
+)
 from chartweave.operators.profile import (
     convert_dtypes,
     frame_profile,
@@ -64,6 +72,61 @@ def test_joins(spark):
     assert rows(fk_violations(fact, "id", parent)) == [(5, 2)]
 
 
+def test_key_report(spark):
+    a = spark.createDataFrame([("x", "p"), ("y", None), ("y", "q"), (None, "z")], "id STRING, other STRING")
+    b = spark.createDataFrame([("p", "x"), ("r", "gone"), ("s", "gone")], "key STRING, id STRING")
+    empty = spark.createDataFrame([], "key STRING")
+    keys = [("a", "other", "b", "key"), ("b", "id", "a", "id"), ("b", "key", "empty", "key"), ("empty", "key", "b", "key")]
+    want = [
+        ("a", "other", "b", 2, 2), ("b", "id", "a", 1, 2), ("b", "key", "empty", 3, 3), ("empty", "key", "b", 0, 0),
+    ]
+    assert rows(fk_report({"a": a, "b": b, "empty": empty}, keys)) == sorted(want)
+
+
+def test_key_report_has_one_exchange_for_all_tables(spark):
+    ids = spark.range(1000).selectExpr("CAST(id AS STRING) AS id", "CAST(id % 7 AS STRING) AS k")
+    tables = {name: ids for name in ("a", "b", "c")}
+    keys = [("a", "k", "b", "id"), ("a", "id", "c", "id"), ("b", "k", "c", "id"), ("c", "k", "a", "id")]
+    plan = fk_report(tables, keys)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    below = plan[plan.index("Exchange hashpartitioning"):]
+    assert "HashAggregate" in below  # reduced before it
+
+
+@pytest.mark.parametrize("hot", ["left", "right", "both"])
+def test_a_hot_key_of_an_outer_join_is_split(spark, hot):
+    """No task holds the hot key: its partition is split, and the rows are those of a full outer join."""
+    n = {"left": (30_000, 300), "right": (300, 30_000), "both": (3_000, 2_000)}[hot]
+
+    def side(rows_, other, name):
+        key = f"IF(id % 3 = 0, NULL, IF(id % 3 = 1, {other}, 7))" if rows_ > 1000 else f"IF(id = 0, 7, id + {other})"
+        return spark.range(rows_).selectExpr(f"CAST({key} AS BIGINT) AS id", f"concat('{name}', id, repeat('x', 50)) AS {name}")
+
+    left, right = side(n[0], "id", "v").cache(), side(n[1], "id + 100000", "w").cache()
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = full_outer_coalesce(left, right, "id", {"v": ("v", "w")})
+        got = joined.groupBy("id", "v").count().collect()
+        plain = joined.select("id", "v")
+        plain.collect()
+        assert "skew=true" in plain._jdf.queryExecution().executedPlan().toString()
+        both = left.withColumnRenamed("id", "a").join(right.withColumnRenamed("id", "b"), F.expr("a = b"), "full_outer")
+        want = both.selectExpr("coalesce(a, b) AS id", "coalesce(v, w) AS v").groupBy("id", "v").count().collect()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        left.unpersist(), right.unpersist()
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)
+
+
 def test_ledger_rules(spark):
     ddl = "batch_id INT, save_ts TIMESTAMP, source STRING"
     import datetime as d

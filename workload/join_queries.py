@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from chartweave.operators.joins import fk_report, fk_violations, full_outer_coalesce, left_join_child, star_report
 from chartweave.operators.keyed import rows_without_key
 from chartweave.plans.details import DETAILS, build
-from chartweave.plans.star import FOREIGN_KEYS, STAR, model_table, star_table
+from chartweave.plans.reports import Report, read_report, refresh_report
+from chartweave.plans.star import FOREIGN_KEYS, STAR, load_rows, model_table, star_table
+from chartweave.session import scratch_folder
+from chartweave.sinks.layers import write_star
+from chartweave.sinks.snapshot import merge_batches
+from chartweave.sources.layers import Lake
 
 from .oracle_star import STAR_SQL
 from .records import RECORDS, Tables
@@ -39,6 +44,34 @@ def star_join_report(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "star_report_incremental",
+    f"""SELECT f.encounter_type_key, d.encounter_type_name, f.encounter_month, f.n_encounters, f.n_hours
+        FROM (SELECT encounter_type_key, strftime(period_start, '%Y-%m') AS encounter_month, count(*) AS n_encounters,
+                CAST(sum(date_diff('hour', period_start, period_end)) AS BIGINT) AS n_hours
+              FROM ({STAR_SQL['fact_encounter']}) GROUP BY 1, 2) f
+        LEFT JOIN ({STAR_SQL['dim_encounter_type']}) d USING (encounter_type_key)""",
+)
+def star_report_incremental(t: Tables) -> DataFrame:
+    """The same report, kept up with three batches of which each overwrites facts of an older state."""
+    lake, table = Lake(scratch_folder(t.spark)), STAR["fact_encounter"]
+    rows = load_rows(build(table.source, RECORDS["Encounter"](t)), table)
+    older = rows.withColumn("encounter_type_key", F.lit("older")).withColumn("batch_id", F.lit(-1))
+    write_star(older, lake, table, "local", -1, 0)
+    write_star(rows, lake, table, "local")
+    hours = "CAST((unix_timestamp(period_end) - unix_timestamp(period_start)) / 3600 AS BIGINT)"
+    report = Report(
+        "encounters_by_month",
+        table,
+        {"encounter_type_key": "encounter_type_key", "encounter_month": "date_format(period_start, 'yyyy-MM')"},
+        {"n_encounters": ("count", "1"), "n_hours": ("sum", hours)},
+    )
+    for batch_id in range(-1, 3):
+        merge_batches(t.spark, lake, table, [("local", batch_id)])
+        refresh_report(t.spark, lake, report)
+    return read_report(t.spark, lake, report, {"encounter_type_key": star(t, "dim_encounter_type")})
+
+
 @query(
     "star_conditions_by_category",
     f"""SELECT condition_category, gender, CAST(sum(n) AS BIGINT) AS n_conditions

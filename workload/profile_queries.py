@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ from chartweave.operators.profile import (
     unique_values,
     value_counts,
 )
+from chartweave.operators.sketches import profile_report
+from chartweave.plans.profiles import read_profile, update_profiles
+from chartweave.session import scratch_folder
+from chartweave.sinks.layers import write_detail
+from chartweave.sources.layers import Lake
 
 from .records import Tables
 from .register import query
@@ -91,18 +98,49 @@ def all_extension_columns(t: Tables) -> DataFrame:
 
 @query(
     "prune_all_frames",
-    """SELECT 'flags' AS frame, count(*) AS n_rows FROM (SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem)
-       UNION ALL SELECT 'kinds', count(*) FROM (
+    """SELECT 'flags' AS frame, l_returnflag AS first, l_linestatus AS second
+       FROM (SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem)
+       UNION ALL SELECT 'kinds', kind, CAST(user_id AS VARCHAR) FROM (
          SELECT DISTINCT CASE WHEN event_id % 2 = 0 THEN event_type END AS kind,
            CASE WHEN event_id % 3 = 0 THEN user_id END AS user_id FROM events)
        WHERE kind IS NOT NULL OR user_id IS NOT NULL""",
 )
 def pruned(t: Tables) -> DataFrame:
+    """All rows that are left of both frames."""
     frames = prune_all_frames(
         {
             "kinds": t.events.selectExpr("IF(event_id % 2 = 0, event_type, NULL) AS kind", "IF(event_id % 3 = 0, user_id, NULL) AS user_id"),
             "flags": t.lineitem.select("l_returnflag", "l_linestatus"),
         }
     )
-    sizes = [frame.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("frame"), "n_rows") for name, frame in frames.items()]
-    return sizes[0].unionByName(sizes[1])
+    rows = [
+        frame.select(F.lit(name).alias("frame"), *(F.col(c).cast("string").alias(n) for c, n in zip(frame.columns, ("first", "second"))))
+        for name, frame in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+_CODES = ("l_returnflag", "l_linestatus", "l_linenumber")
+
+
+@query(
+    "profile_merged",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n, 0 AS cut,
+              (SELECT count(*) FROM lineitem) AS n_rows, (SELECT count({c}) FROM lineitem) AS n_values,
+              (SELECT count(DISTINCT {c}) FROM lineitem) AS n_distinct
+            FROM lineitem WHERE {c} IS NOT NULL GROUP BY 2"""
+        for c in _CODES
+    ),
+)
+def profile_merged(t: Tables) -> DataFrame:
+    """Columns of codes, profiled per batch and read from the merged profiles: with fewer values than a profile lists,
+    nothing in it is estimated."""
+    folder = scratch_folder(t.spark)
+    rows = t.lineitem.select(*_CODES, (F.col("l_orderkey") % 5).cast("int").alias("batch_id"))
+    write_detail(rows, Lake(folder), "codes", "local")
+    update_profiles(t.spark, Lake(folder).detail("codes"), f"{folder}/profiles")
+    found = profile_report(read_profile(t.spark, f"{folder}/profiles"))
+    return found.select("column_name", F.explode("frequent").alias("entry"), "cut", "n_rows", "n_values", "n_distinct").select(
+        "column_name", "entry.value", "entry.n", "cut", "n_rows", "n_values", "n_distinct"
+    )

@@ -6,6 +6,7 @@ grows with the table it reads.
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -438,3 +439,18 @@ def image_files(t: Tables) -> DataFrame:
         "concat('images/', p_partkey % 50, '/', p_partkey, '.dcm') AS path",
         f"IF(p_partkey % 10 = 9, CAST(concat('broken ', p_partkey) AS BINARY), {content}) AS content",
     )
+
+
+def write_files(files: DataFrame, folder: str) -> DataFrame:
+    """Each row's content as a file below the folder, written by the tasks; returns the paths."""
+
+    def write(batches):
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                target = os.path.join(folder.removeprefix("file:"), path)
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                with open(target, "wb") as out:
+                    out.write(content)
+            yield batch.select(["path"])
+
+    return files.select("path", "content").mapInArrow(write, "path STRING")

@@ -29,19 +29,21 @@ from chartweave.sources.bundles import (
     whole_bundles,
 )
 from chartweave.sources.file_batches import next_folders, outer_folder
+from chartweave.sources.image_headers import read_image_headers
 from chartweave.sources.images import read_images
 from chartweave.sources.layers import Lake, read_bronze, read_detail, read_rejects, read_star
 from chartweave.streaming.ingest import bundle_file_stream, ingest_stream, upsert_stream
 
 from .oracle_details import DETAIL_SQL, moment
 from .oracle_star import STAR_SQL
-from .records import RECORDS, Tables, bronze, bundles, image_files
+from .records import RECORDS, Tables, bronze, bundles, image_files, write_files
 from .register import query
 
 SOURCE = "local"
 # size of the stream queries' files and epochs
 BUNDLES_PER_FILE = 50_000
 FILES_PER_EPOCH = 64
+LINES_PER_FILE = 100_000
 # bundles of a file that is one JSON array
 BUNDLES_PER_ARRAY = 1000
 
@@ -337,6 +339,15 @@ def dicom_headers(t: Tables) -> DataFrame:
     return header_columns(dicom_metadata(image_files(t)))
 
 
+@query("image_header_ranges", HEADER_SQL)
+def image_header_ranges(t: Tables) -> DataFrame:
+    """The same files in folders, each of them read up to its last wanted field."""
+    folder = scratch(t)
+    write_files(image_files(t), folder).write.format("noop").mode("overwrite").save()
+    found = header_columns(read_image_headers(t.spark, folder))
+    return found.withColumn("file_path", F.regexp_extract("file_path", "(images/.*)$", 1))
+
+
 @query(
     "dicom_pixels",
     """SELECT 'images/' || (p_partkey % 50) || '/' || p_partkey || '.dcm' AS file_path,
@@ -369,10 +380,10 @@ def sink_binary_meta(t: Tables) -> DataFrame:
     """SELECT 'part-' || (o_orderkey % 7) AS folder, count(*) AS n_lines FROM orders GROUP BY 1""",
 )
 def scan_binary_files(t: Tables) -> DataFrame:
-    """Text files written per folder, read back as binary content; lines are counted from the bytes."""
+    """Text files of bounded size written per folder, read back as binary content; lines are counted from the bytes."""
     folder = scratch(t)
     lines = t.orders.select(F.concat(F.lit("part-"), F.col("o_orderkey") % 7).alias("folder"), F.col("o_orderpriority").alias("value"))
-    lines.write.partitionBy("folder").text(folder)
+    lines.write.partitionBy("folder").option("maxRecordsPerFile", LINES_PER_FILE).text(folder)
     files = read_images(t.spark, folder, "*.txt")
     text = F.col("content").cast("string")
     return (
