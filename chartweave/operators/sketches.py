@@ -107,9 +107,10 @@ def merge_profiles(profiles: DataFrame, top: int = TOP) -> DataFrame:
         F.sum("n_values").alias("n_values"),
         F.hll_union_agg("distinct_sketch").alias("distinct_sketch"),
         F.kll_merge_agg_double("quantile_sketch").alias("quantile_sketch"),
+        F.count("quantile_sketch").alias("n_sketches"),
         F.sum("cut").alias("left_out"),
     )
-    quantile = F.when(F.col("n_values") > 0, F.col("quantile_sketch"))
+    quantile = F.when(F.col("n_sketches") > 0, F.col("quantile_sketch"))  # of none a merge makes an empty one
     counted = profiles.select("column_name", F.explode("frequent").alias("entry"))
     counted = counted.groupBy("column_name", F.col("entry.value").alias("value")).agg(F.sum("entry.n").alias("n"))
     listed = _listed(counted, top)

@@ -100,7 +100,7 @@ def test_a_hot_key_of_an_outer_join_is_split(spark, hot):
 
     def side(rows_, other, name):
         key = f"IF(id % 3 = 0, NULL, IF(id % 3 = 1, {other}, 7))" if rows_ > 1000 else f"IF(id = 0, 7, id + {other})"
-        return spark.range(rows_).selectExpr(f"CAST({key} AS BIGINT) AS id", f"concat('{name}', id, repeat('x', 50)) AS {name}")
+        return spark.range(rows_).selectExpr(f"CAST({key} AS BIGINT) AS id", f"sha2(concat('{name}', id), 256) AS {name}")
 
     left, right = side(n[0], "id", "v").cache(), side(n[1], "id + 100000", "w").cache()
     settings = {
