@@ -28,9 +28,10 @@ def arguments() -> argparse.ArgumentParser:
     model.add_argument("--url", help="also append all batches that are not there yet to this JDBC database")
     model.add_argument("--property", action="append", default=[], metavar="NAME=VALUE", help="JDBC property")
     merge = steps.add_parser("merge", help="merge all loaded batches into the stored rows of keyed star tables")
+    profile = steps.add_parser("profile", help="profile the batches of all tables that have no profile yet")
     for step in (ingest, transform, model):
         step.add_argument("--resume", action="store_true", help="take over batches of jobs that were lost")
-    for step in (ingest, transform, model, merge):
+    for step in (ingest, transform, model, merge, profile):
         step.add_argument("--lake", required=True, help="root folder of all layers")
         step.add_argument("--source", choices=["local", "kafka"], default="local")
 
@@ -48,6 +49,8 @@ def main(argv: list[str] | None = None) -> int | None:
     if options.step == "images":
         return jobs.extract_images(spark, options.input, options.table, options.pixels)
     lake = Lake(options.lake)
+    if options.step == "profile":
+        return jobs.profile(spark, lake)
     if options.step == "merge":
         return len(jobs.merge(spark, lake))
     lease = 0.0 if options.resume else jobs.LEASE_HOURS

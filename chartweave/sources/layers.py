@@ -32,6 +32,9 @@ class Lake:
     def merged(self, table: StarTable) -> str:
         return f"{self.root}/merged/{table.full_name}"
 
+    def profiles(self, name: str) -> str:
+        return f"{self.root}/profiles/{name}"
+
     @staticmethod
     def batch(folder: str, batch_id: int) -> str:
         return f"{folder}/batch_id={batch_id}"

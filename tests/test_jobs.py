@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chartweave.__main__ import main
 from chartweave.plans.jobs import batch_rows, export, ingest, merged_with, model, transform
 from chartweave.plans.ledger import Ledger
+from chartweave.plans.profiles import read_profile
 from chartweave.plans.star import STAR, create_star_tables, load_rows
 from chartweave.sinks.layers import save_detail_table, save_image_table, write_star
 from chartweave.sources.bundles import bundle_entries, list_files, read_bundles, read_json_inferred, schema_rows
@@ -134,6 +135,10 @@ def test_command_line_and_reruns(spark, tmp_path):
     assert main(["transform", "--lake", lake.root]) == 0
     assert main(["model", "--lake", lake.root]) == 0
     assert main(["model", "--lake", lake.root]) is None
+    assert main(["merge", "--lake", lake.root]) == 17
+    assert main(["profile", "--lake", lake.root]) == 60 and main(["profile", "--lake", lake.root]) == 0
+    found = {r.column_name: r for r in read_profile(spark, lake.profiles("clinical.fact_procedure")).collect()}
+    assert found["reason_reference"].n_values == 1 and [tuple(f) for f in found["reason_reference"].frequent] == [("c1", 1)]
     with pytest.raises(SystemExit):
         main(["ingest", "--lake", lake.root, "--source", "kafka"])
 

@@ -53,12 +53,27 @@ def scratch(t: Tables) -> str:
 
 
 ENTRY_SQL = """
-    SELECT 'Encounter' AS resource_type, 'enc-' || o_orderkey AS id FROM orders
-    UNION ALL SELECT 'Procedure', 'proc-' || o_orderkey FROM orders"""
+    SELECT 'Encounter' AS resource_type, 'enc-' || o_orderkey AS id, o_orderstatus AS status,
+      'urn:uuid:pat-' || o_custkey AS reference,
+      CASE o_orderkey % 3 WHEN 0 THEN 'ambulatory' WHEN 1 THEN 'emergency' ELSE 'inpatient' END AS class,
+      substr(o_orderpriority, 1, 1) AS code
+    FROM orders
+    UNION ALL SELECT 'Procedure', 'proc-' || o_orderkey, 'completed', 'urn:uuid:pat-' || o_custkey, NULL,
+      'P' || (o_orderkey % 20)
+    FROM orders"""
 
 
 def entry_ids(entries: DataFrame) -> DataFrame:
-    return entries.select("resource_type", F.col("data.id").alias("id"))
+    """Fields of both types, from plain, nested and text columns."""
+    first_type = F.get_json_object("data.type", "$[0].coding[0].code")
+    return entries.select(
+        "resource_type",
+        F.col("data.id").alias("id"),
+        F.col("data.status").alias("status"),
+        F.coalesce("data.patient.reference", "data.subject.reference").alias("reference"),
+        F.col("data.class.code").alias("class"),
+        F.coalesce(first_type, F.get("data.code.coding", 0)["code"]).alias("code"),
+    )
 
 
 # --- sources -------------------------------------------------------------------------------------
@@ -149,10 +164,18 @@ def plan_file_batches(t: Tables) -> DataFrame:
     return files.join(ledger.folders(SOURCE), "outer").select("batch_id", "path")
 
 
+#: table, id and key of every resource type
 BRONZE_SQL = {
+    "Patient": ("customer", "'pat-' || c_custkey", "c_custkey"),
     "Encounter": ("orders", "'enc-' || o_orderkey", "o_orderkey"),
     "Condition": ("events", "'cond-' || event_id", "event_id"),
+    "Observation": ("lineitem", "'obs-' || l_orderkey || '-' || l_linenumber", "l_partkey"),
+    "MedicationRequest": ("lineitem", "'med-' || l_orderkey || '-' || l_linenumber", "l_partkey"),
+    "Immunization": ("events", "'imm-' || event_id", "event_id"),
+    "Procedure": ("orders", "'proc-' || o_orderkey", "o_orderkey"),
     "CarePlan": ("customer", "'plan-' || c_custkey", "c_custkey"),
+    "DiagnosticReport": ("orders", "'rep-' || o_orderkey", "o_orderkey"),
+    "AllergyIntolerance": ("supplier", "'alg-' || s_suppkey", "s_suppkey"),
 }
 
 

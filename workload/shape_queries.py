@@ -370,7 +370,7 @@ def distinct_resource_types(t: Tables) -> DataFrame:
        ORDER BY l_partkey, l_shipdate, l_quantity""",
 )
 def dedupe_by_key(t: Tables) -> DataFrame:
-    return one_per_key(t.lineitem.select("l_partkey", "l_shipdate", "l_quantity"), "l_partkey")
+    return one_per_key(t.lineitem.select("l_partkey", "l_shipdate", "l_quantity"), "l_partkey", repeats=False)
 
 
 @query("dedupe_full_row", "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem")
