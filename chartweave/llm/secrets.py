@@ -30,9 +30,18 @@ HEX_ONLY = re.compile(r"(?:0x)?(?:[0-9a-f]+|[0-9A-F]+)", re.ASCII)
 IDENTIFIER = re.compile(
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # universally unique ids
     r"|[0-9/_=+-]+"  # numbers, dates, rules
-    r"|[A-Za-z]{1,12}[-_][0-9]+",  # numbered names
+    r"|[A-Za-z]{1,12}[-_][0-9]+"  # numbered names
+    r"|[A-Z]{1,12}(?:[-_][A-Z0-9]{1,4}){3,}",  # numbers of orders and parts, in short groups
     re.ASCII,
 )
+# Digests as base64: the name of the function before them or in front of them, and the lengths such digests have.
+DIGEST_NAME = re.compile(r"(?i)(?:md5|sha-?(?:1|224|256|384|512))[\"']?\s?[-_:=]?\s?[\"']?")
+DIGEST_BEFORE = re.compile(DIGEST_NAME.pattern + r"\Z")
+DIGEST_BASE64 = re.compile(
+    r"[A-Za-z0-9+/_-]{22}(?:==)?|[A-Za-z0-9+/_-]{27}=?|[A-Za-z0-9+/_-]{38}(?:==)?"
+    r"|[A-Za-z0-9+/_-]{43}=?|[A-Za-z0-9+/_-]{64}|[A-Za-z0-9+/_-]{86}(?:==)?"
+)
+NAME_CHARS = 16
 
 
 @lru_cache(maxsize=2)
@@ -77,6 +86,16 @@ def _outside(candidates, taken: list[tuple[int, int]]):
             yield at, m.end()
 
 
+def _is_digest(word: str, before: str) -> bool:
+    """Hex digits of a digest's length, or base64 of one that is named as such."""
+    if HEX_ONLY.fullmatch(word):
+        return len(word.removeprefix("0x")) in DIGEST_CHARS
+    name = DIGEST_NAME.match(word)
+    if name:
+        return DIGEST_BASE64.fullmatch(word[name.end() :]) is not None
+    return DIGEST_BEFORE.search(before) is not None and DIGEST_BASE64.fullmatch(word) is not None
+
+
 def scan(text: str, encoding, ratio: float) -> list[tuple[int, int, int]]:
     spans = base_spans(text)
     if max(map(len, text.split()), default=0) >= RANDOM_CHARS:
@@ -84,7 +103,7 @@ def scan(text: str, encoding, ratio: float) -> list[tuple[int, int, int]]:
         found = []
         for start, end in _outside(CANDIDATE.finditer(text), sorted((a, b) for a, _, b in spans)):
             word = text[start:end]
-            if IDENTIFIER.fullmatch(word) or (HEX_ONLY.fullmatch(word) and len(word.removeprefix("0x")) in DIGEST_CHARS):
+            if IDENTIFIER.fullmatch(word) or _is_digest(word, text[max(0, start - NAME_CHARS) : start]):
                 continue
             if len(word) < ratio * len(encoding.encode_ordinary(word)):
                 found.append((start, 3, end))
@@ -103,9 +122,10 @@ def find_secrets(
     ``redacted``, the text with every span replaced by ``[kind]`` (overlapping spans by the first one's kind).
 
     ``ranks`` is a tiktoken rank file. A run of 20 or more key characters, or what fixed patterns leave of it, is
-    ``random`` if it has fewer than ``ratio`` characters per token, unless it has the form of a digest (hex
-    digits of a digest's length) or of an identifier (universally unique id, number or date, numbered
-    name). Spans are listed by start, then kind. Null and empty texts have none, repeated rows get a row
+    ``random`` if it has fewer than ``ratio`` characters per token, unless it has the form of a digest (hex digits of
+    a digest's length, or base64 of that length that names its hash function, as ``sha256-...`` does) or of an
+    identifier (universally unique id, number or date, numbered name). Base64 without such a name is also what keys
+    look like, so it counts as random. Spans are listed by start, then kind. Null and empty texts have none, repeated rows get a row
     each, a null id stays null, an empty table gives an empty result, other columns are not read.
     """
     kind = id_type(docs, id_col)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import random
 
 import public_tokenizers
@@ -67,6 +68,23 @@ def test_secrets_of_letters_and_beside_fixed_patterns(documents):
     assert rows[52].n_random == 0 and rows[52].redacted == texts[52]
 
 
+def test_secrets_leave_digests_and_numbered_names_out(documents):
+    rng = random.Random(4)
+    texts = []
+    for name, size in (("md5", 16), ("sha1", 20), ("sha224", 28), ("sha256", 32), ("sha384", 48), ("sha512", 64)):
+        for _ in range(40):
+            digest = rng.randbytes(size)
+            plain, url_safe = base64.b64encode(digest).decode(), base64.urlsafe_b64encode(digest).decode().rstrip("=")
+            texts += [f'integrity="{name}-{plain}"', f"{name.upper()}: {plain}", f"{name}={url_safe} end", f"SHA-512 {digest.hex()}"[-size * 2 :]]
+    texts += ["order ORD-2023-11-AB12-CD34-EF56 sent", "part PN_0012_77AX_9B_4400"]
+    got = find_secrets(documents(list(enumerate(texts))), RANKS).collect()
+    assert [texts[r.doc_id] for r in got if r.n_random] == []
+    keys = ["key " + base64.b64encode(rng.randbytes(32)).decode() for _ in range(40)]
+    keys += ["sha256-" + base64.b64encode(rng.randbytes(40)).decode() for _ in range(40)]  # not the length of that digest
+    got = find_secrets(documents(list(enumerate(keys))), RANKS).collect()
+    assert sum(r.n_random for r in got) >= 78
+
+
 def test_secrets_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     for r in queries.op2_secret_scan(spark, DATA).collect():
