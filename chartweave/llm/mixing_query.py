@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .mixing import CAP_ROUNDS, ROUNDS, mix
+from .mixing import ROUNDS, mix
 
-POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
+# shares that a sample of half of all tokens can have: the rarest topics cannot be lifted further
+POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.9}
 SHARE = 0.5
 SEED = "mix-"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,10 +27,16 @@ def topic(text="text"):
     )
 
 
+def dimensions() -> dict[str, Column]:
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": topic()}
+
+
+def tokens() -> Column:
+    return F.regexp_count("text", F.lit(WORD)) + 1
+
+
 def mixed(docs: DataFrame, carry: bool = False) -> DataFrame:
-    dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic()}
-    tokens = F.regexp_count("text", F.lit(WORD)) + 1
-    return mix(docs, dimensions, tokens, powers=POWERS, share=SHARE, seed=SEED, carry=carry)
+    return mix(docs, dimensions(), tokens(), powers=POWERS, share=SHARE, seed=SEED, carry=carry)
 
 
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,7 +56,8 @@ def mixing_sql(rows: str) -> str:
   coalesce(len(regexp_extract_all(text, '{WORD}')) + 1, 1)::BIGINT AS n_tokens FROM ({rows}))""",
         "cells AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS mass FROM docs GROUP BY ALL)",
         *(f"aim_{n} AS (SELECT {n}, pow(sum(mass), {p}) AS t FROM cells GROUP BY {n})" for n, p in POWERS.items()),
-        "step0 AS MATERIALIZED (SELECT cells.*, mass AS raked, "
+        f"step0 AS MATERIALIZED (SELECT cells.*, mass / (SELECT sum(mass) FROM cells) AS raked, "
+        f"mass / ({SHARE} * (SELECT sum(mass) FROM cells)) AS bound, "
         + ", ".join(f"aim_{n}.t / (SELECT sum(t) FROM aim_{n}) AS to_{n}" for n in names)
         + " FROM cells "
         + " ".join(f"JOIN aim_{n} ON cells.{n} = aim_{n}.{n}" for n in names)
@@ -59,21 +67,16 @@ def mixing_sql(rows: str) -> str:
     for _ in range(ROUNDS):
         for n in names:
             steps.append(
-                f"step{at + 1} AS MATERIALIZED (SELECT * REPLACE (raked * to_{n} / sum(raked) OVER (PARTITION BY {n}) AS raked) FROM step{at})"
+                f"step{at + 1} AS MATERIALIZED (SELECT * REPLACE "
+                f"(least(bound, raked * to_{n} / sum(raked) OVER (PARTITION BY {n})) AS raked) FROM step{at})"
             )
             at += 1
-    steps.append(f"cap0 AS (SELECT *, 0.0::DOUBLE AS p FROM step{at})")
-    for n in range(CAP_ROUNDS):
-        steps.append(
-            f"cap{n + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN p >= 1 THEN 1.0 ELSE coalesce(least(1.0, raked / mass"
-            f" * ({SHARE} * sum(mass) OVER () - sum(CASE WHEN p >= 1 THEN mass ELSE 0 END) OVER ())"
-            f" / nullif(sum(CASE WHEN p >= 1 THEN 0 ELSE raked END) OVER (), 0)), 0.0) END AS p) FROM cap{n})"
-        )
+    steps.append(f"fitted AS (SELECT *, least(1.0, raked * {SHARE} * (SELECT sum(mass) FROM cells) / mass) AS p FROM step{at})")
     return (
         "WITH " + ",\n".join(steps) + f"""
 SELECT doc_id, source, lang, topic, n_tokens, round(p, 6) AS probability,
   ('0x' || substr(md5('{SEED}' || coalesce(doc_id::VARCHAR, '')), 1, 8))::UBIGINT / 4294967296.0 < p AS sampled
-FROM docs JOIN cap{CAP_ROUNDS} USING (source, lang, topic)"""
+FROM docs JOIN fitted USING (source, lang, topic)"""
     )
 
 

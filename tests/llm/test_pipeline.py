@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chartweave.llm import queries
-from chartweave.llm.mixing import mix, rake
+from chartweave.llm import mixing_query, queries
+from chartweave.llm.mixing import fit, margins, mix, rake, weighted
 from chartweave.llm.mixing_query import OP8_SQL, mixing_sql
 from chartweave.llm.secrets import KINDS
 from tools.check_oracles import compare
@@ -79,6 +79,17 @@ def test_run_gives_the_same(spark, stages):
     assert sorted(corpus_pipeline.run(spark, DATA).collect()) == sorted(stages[-1].collect())
 
 
+def test_stages_with_clashing_columns(spark):
+    rows = [(1, "one two three four five six", "en", "s", "kept", 7.0, "p", "q"), (1, "other words are here", "en", "s", "kept", 7.0, "p", "q")]
+    ddl = "doc_id LONG, text STRING, lang STRING, source STRING, `first of its id` STRING, mix_probability DOUBLE, `place` STRING, `a.b` STRING"
+    docs = spark.createDataFrame(rows, ddl)
+    once = corpus_pipeline.drop_near_duplicates(spark, docs, DATA)
+    assert once.columns == docs.columns and [tuple(r)[4:] for r in once.collect()] == [("kept", 7.0, "p", "q")]
+    mixed = corpus_pipeline.mix_to_targets(spark, docs, DATA)
+    assert mixed.columns == [*docs.columns, "mix_probability_"]
+    assert all(r.mix_probability == 7.0 and 0 <= r.mix_probability_ <= 1 for r in mixed.collect())
+
+
 def test_stages_with_odd_rows(spark):
     rows = [
         (1, None, None, None, None, "a", 1, 0.5), (2, "", "en", "s", 0, None, None, None), (3, "one two", "en", None, 7, "c", 3, 1.0),
@@ -119,6 +130,33 @@ def test_raked_margins(spark):
     assert {r.l: round(r.t, 4) for r in got.groupBy("l").agg(F.sum("raked").alias("t")).collect()} == {"x": 0.4, "y": 0.6}
 
 
+@pytest.mark.parametrize("folder", [DATA, "/root/testdata/sf0.01"])
+def test_final_margins_meet_their_targets(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = weighted(docs, mixing_query.dimensions(), mixing_query.tokens())
+    cells, aims = fit(rows, list(mixing_query.POWERS), mixing_query.POWERS, share=mixing_query.SHARE)
+    reached = margins(cells, aims).collect()
+    assert {r.dimension for r in reached} == {"source", "lang", "topic"}
+    assert max(abs(r.reached - r.target) for r in reached) < 0.002
+    r = cells.agg(F.sum("mass").alias("all"), F.sum(F.col("mass") * F.col("probability")).alias("some")).first()
+    assert abs(r.some / r["all"] - mixing_query.SHARE) < 0.002
+
+
+def test_bounds_hold_where_targets_ask_for_too_much(spark):
+    """The rare value is taken whole; the rest keeps to the other margin's target."""
+    masses = [("rare", "x", 10), ("rare", "y", 10), ("much", "x", 600), ("much", "y", 380)]
+    rows = spark.createDataFrame(masses, "s STRING, l STRING, n_tokens LONG")
+    aims = {
+        "s": spark.createDataFrame([("rare", 0.5), ("much", 0.5)], "s STRING, target DOUBLE"),
+        "l": spark.createDataFrame([("x", 0.3), ("y", 0.7)], "l STRING, target DOUBLE"),
+    }
+    cells, _ = fit(rows, ["s", "l"], targets=aims, share=0.4, rounds=60)
+    found = {(r.s, r.l): r.probability for r in cells.collect()}
+    assert max(found.values()) <= 1 and found["rare", "y"] == 1 and found["rare", "x"] == pytest.approx(1, abs=0.01)
+    reached = {(r.dimension, r.value): r.reached for r in margins(cells, aims).collect()}
+    assert reached["s", "rare"] < 0.12 and found["much", "y"] > found["much", "x"]
+
+
 def test_mixing_budget_and_odd_rows(spark):
     rows = [(i, "w " * (1 + i % 9), "l" + str(i % 2), None if i % 5 else "s") for i in range(4000)] + [(None, None, None, None)]
     docs = spark.createDataFrame([*rows, rows[0]], "doc_id LONG, text STRING, lang STRING, source STRING")
