@@ -33,10 +33,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     found = near_duplicates(docs)
     kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    order = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*(order or ["doc_id"])))
-    once = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn("first of its id", first)
-    return once.where(F.col("first of its id") == 1).select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    order = [F.col(f"row.`{c}`") for c in docs.columns]
+    rows = whole_rows(docs).select("row", F.col("row.doc_id").alias("doc_id")).join(kept, "doc_id", "left_semi")
+    once = rows.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order)))
+    return once.where("place = 1").select("row.*").union(docs.where("doc_id IS NULL"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +58,14 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose source, language and topic shares are raked to the targets, with each one's probability."""
-    return mixed(docs, carry=True).where("sampled").select("row.*", F.col("probability").alias("mix_probability"))
+    """A sample whose source, language and topic shares are raked to the targets, with each one's probability.
+
+    The probability is the last column, ``mix_probability``, with as many ``_`` behind as make it a new name.
+    """
+    name, known = "mix_probability", {c.lower() for c in docs.columns}
+    while name in known:
+        name += "_"
+    return mixed(docs, carry=True).where("sampled").select("row.*", F.col("probability").alias(name))
 
 
 STAGES = [
