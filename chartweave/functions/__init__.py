@@ -1,4 +1,11 @@
-from .clinical import CONDITION_RULES, categorize_keywords, condition_category, dosage_class, multiple_birth
+from .clinical import (
+    CONDITION_RULES,
+    categorize_keywords,
+    condition_category,
+    dosage_class,
+    dosage_class_of_flag,
+    multiple_birth,
+)
 from .scalars import (
     array_from_json,
     best_value,
@@ -21,6 +28,7 @@ __all__ = [
     "categorize_keywords",
     "condition_category",
     "dosage_class",
+    "dosage_class_of_flag",
     "epoch_label",
     "first_of",
     "join_displays",

@@ -73,6 +73,12 @@ def dosage_class(dosages: ColumnLike) -> Column:
     )
 
 
+def dosage_class_of_flag(as_needed: ColumnLike) -> Column:
+    """The same from one dosage's flag: without a flag there are no instructions."""
+    flag = column(as_needed)
+    return F.when(flag.isNull(), "no instructions").when(flag, "as needed").otherwise("scheduled")
+
+
 def multiple_birth(flag: ColumnLike, order: ColumnLike) -> Column:
     """One integer for twins and more: the flag as 0/1, or the birth order when no flag is given."""
     return F.coalesce(column(flag).cast("bigint"), column(order)).cast("int")

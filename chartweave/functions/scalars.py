@@ -40,16 +40,18 @@ def join_displays(codings: ColumnLike, separator: str = ",") -> Column:
     return F.array_join(F.transform(column(codings), lambda coding: coding["display"]), separator)
 
 
-def best_value(extension: ColumnLike) -> Column:
-    """The one filled-in value of a typed extension: concept, then address, then code, then text."""
+def best_value(extension: ColumnLike, last: bool = False) -> Column:
+    """The filled-in value of a typed extension: concept, address, code or text, in this order; with ``last`` the last
+    one of them that is there, in which the displays of a concept follow each other without a comma."""
     ext = column(extension)
     place = ext["valueAddress"]
-    return F.coalesce(
-        join_displays(ext["valueCodeableConcept"]["coding"]),
+    values = [
+        join_displays(ext["valueCodeableConcept"]["coding"], "" if last else ","),
         F.when(place.isNotNull(), F.concat_ws(", ", place["city"], place["state"])),
         ext["valueCode"],
         ext["valueString"],
-    )
+    ]
+    return F.coalesce(*(reversed(values) if last else values))
 
 
 def period_bound(bound: ColumnLike, moment: ColumnLike) -> Column:

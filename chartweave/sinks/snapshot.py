@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.keyed import union_states
 from ..plans.claims import names, publish, remove, text_of

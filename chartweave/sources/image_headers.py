@@ -85,9 +85,9 @@ class ImageHeaders(DataSource):
 
 
 def _file_system(folder: str) -> tuple[fs.FileSystem, str]:
-    if "://" in folder or folder.startswith("file:"):
-        return fs.FileSystem.from_uri(folder)
-    return fs.LocalFileSystem(), folder
+    if folder.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
 
 
 def _header(files: fs.FileSystem, path: str) -> tuple[dict | None, str | None, int]:

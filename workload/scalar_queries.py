@@ -10,6 +10,7 @@ from chartweave.functions import (
     best_value,
     condition_category,
     dosage_class,
+    dosage_class_of_flag,
     first_of,
     join_displays,
     multiple_birth,
@@ -86,6 +87,38 @@ def dosage_classes(t: Tables) -> DataFrame:
     return data(t, "MedicationRequest").select("id", dosage_class("dosageInstruction").alias("class"))
 
 
+@query(
+    "dosage_class_of_flag",
+    """SELECT 'med-' || l_orderkey || '-' || l_linenumber AS id,
+         CASE l_linenumber % 4 WHEN 2 THEN 'as needed' WHEN 3 THEN 'scheduled' ELSE 'no instructions' END AS class
+       FROM lineitem""",
+)
+def flag_classes(t: Tables) -> DataFrame:
+    """The class by the first dosage's flag, which a missing list lacks as well as an empty one."""
+    flag = first_of("dosageInstruction")["asNeededBoolean"]
+    return data(t, "MedicationRequest").select("id", dosage_class_of_flag(flag).alias("class"))
+
+
+@query(
+    "last_filled_value",
+    """SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'text ' || c_custkey WHEN c_custkey % 3 = 0 THEN 'code'
+         WHEN c_custkey % 2 = 0 THEN c_mktsegment || ', ' || c_custkey WHEN c_custkey % 7 = 0 THEN 'AB' END AS value
+       FROM customer""",
+)
+def last_value(t: Tables) -> DataFrame:
+    """Extensions with several filled-in values."""
+    extension = F.expr(
+        """named_struct(
+          'valueCodeableConcept', IF(c_custkey % 7 = 0,
+            named_struct('coding', array(named_struct('display', 'A'), named_struct('display', 'B'))), NULL),
+          'valueAddress', IF(c_custkey % 2 = 0,
+            named_struct('city', c_mktsegment, 'state', CAST(c_custkey AS STRING)), NULL),
+          'valueCode', IF(c_custkey % 3 = 0, 'code', NULL),
+          'valueString', IF(c_custkey % 5 = 0, concat('text ', c_custkey), NULL))"""
+    )
+    return t.customer.select("c_custkey", extension.alias("e")).select("c_custkey", best_value("e", last=True).alias("value"))
+
+
 @query("case_multiple_birth", f"""SELECT patient_id AS id, "multipleBirth" AS multiple_birth FROM ({DETAIL_SQL['patient']})""")
 def births(t: Tables) -> DataFrame:
     return data(t, "Patient").select("id", multiple_birth("multipleBirthBoolean", "multipleBirthInteger").alias("multiple_birth"))
