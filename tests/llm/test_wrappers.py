@@ -96,6 +96,68 @@ def test_wrapper_is_a_union_free_expression(pages):
     assert r.pattern == "<page><body><ul>(<li>#</>)+</>(<div>#</>)?(<h2>#</><p>#</>)+</></>"
 
 
+def _unknown(n: int, kind: str, comments: int):
+    """A page whose comments, advert and lines around the text have class names that say nothing."""
+    rng = random.Random(n)
+    blocks = [" ".join(prose(n * 70 + k, rng.randrange(20, 50)).split()) for k in range(rng.randrange(2, 6))]
+    told = "".join(
+        f"<div class='zq'><div><span class='k'>Reader {chr(65 + k)}</span> {k + 1} May 2020</div><p>{prose(n * 90 + k, 12)}</p></div>"
+        for k in range(comments)
+    )
+    inner = "".join(f"<p>{b}</p>" for b in blocks) + "<div class='xy'>Follow us for more</div>"
+    inner += f"<section class='qq'><h3>{comments} said</h3>{told}</section>" if comments else ""
+    start, end = {"article": ("<article>", "</article>"), "main": ("<main>", "</main>"), "plain": ("<div class='w'>", "</div>")}[kind]
+    return f"<html><body>{start}<h1>Title {n}</h1>{inner}{end}</body></html>", [f"Title {n}", *blocks]
+
+
+@pytest.mark.parametrize("kind", ["article", "main", "plain"])
+def test_wrapper_decides_inside_sections(pages, kind):
+    made = [_unknown(n, kind, n % 4) for n in range(16)]
+    rows = [(n, f"https://{kind}.example/{n}", page) for n, (page, _) in enumerate(made)]
+    got = {r.page_id: r.text for r in extract_text(pages(rows)).collect()}
+    assert got == {n: "\n".join(blocks) for n, (_, blocks) in enumerate(made)}
+    alone = [(n, f"https://{kind}{n}.example/", page) for n, (page, _) in enumerate(made)]
+    by_itself = {r.page_id: r.text for r in extract_text(pages(alone)).collect()}
+    # a page with two or more comments shows them itself; the line and a single comment only the host's pages tell
+    assert all(by_itself[n] != got[n] for n in got)
+    assert all("Reader A" in by_itself[n] for n in got if n % 4 == 1)
+
+
+def test_known_words_in_longer_names(pages):
+    kinds = ("id='disqus_thread'", "class='post-comments'", "class='user-comments'", "class='ad-slot'", "class='reader-replies'")
+    inner = "".join(f"<div {k}><p>out</p></div>" for k in kinds)
+    rows = [(n, "http://k.x/", f"<article><p>text {n}</p>{inner}<div class='post'>kept {n}</div></article>") for n in range(3)]
+    assert {r.text for r in extract_text(pages(rows)).collect()} == {f"text {n}\nkept {n}" for n in range(3)}
+
+
+def test_dated_lists_that_are_no_comments_stay(pages):
+    def page(n):
+        log = "".join(f"<div class='e'><h3>Version {n}.{k}</h3><div>Ann {n}, {k + 1} May 2020</div><p>change {n} {k} and more words</p></div>" for k in range(3))
+        table = "".join(f"<tr><td class='author'>Ann {n}</td><td class='date'>{k + 1} May 2020</td></tr>" for k in range(3))
+        cited = "".join(f"<li>Smith {n}, {k + 1} May 2020</li>" for k in range(3))
+        posts = "".join(f"<div class='b'><div>Ann {n}, {k + 1} May 2020</div><p>{prose(n * 9 + k, 9)}</p></div>" for k in range(3))
+        log = f"<h2>Summary</h2><ul><li>salt</li><li>spice {n}</li></ul><table><tr><th>Born</th></tr></table>" + log
+        return f"<article><p>intro {n}</p>{log}<table>{table}</table><ul>{cited}</ul>{posts}<p>the end {n}</p></article>"
+
+    rows = [(n, "http://d.x/", page(n)) for n in range(8)]
+    for r in extract_text(pages(rows)).collect():
+        want = [" ".join(html.unescape(x).split()) for x in re.split("<[^>]*>", page(r.page_id))]
+        assert r.text == "\n".join(x for x in want if x)
+
+
+def test_pages_that_differ_in_little_keep_their_text(pages):
+    same = "".join(f"<p>{prose(k, 30)}</p>" for k in range(4))
+    rows = [(n, "http://near.x/", f"<article><h1>Same title</h1>{same}<h2>odd {n}</h2></article>") for n in range(9)]
+    for r in extract_text(pages(rows)).collect():
+        assert r.text.split("\n") == ["Same title", *(" ".join(prose(k, 30).split()) for k in range(4)), f"odd {r.page_id}"]
+
+
+def test_menus_at_any_depth_are_left_out(pages):
+    page = "<div>" * 2500 + "<nav>Menu</nav><p>deep</p>" + "</div>" * 2500
+    rows = [(n, "http://deep.x/", page) for n in range(2)] + [(2, "http://deep.x/", "<p>flat</p>")]
+    assert sorted(r.text for r in extract_text(pages(rows)).collect()) == ["deep", "deep", "flat"]
+
+
 def test_odd_pages(pages):
     deep = "<div>" * 3000 + "bottom" + "</div>" * 3000
     rows = [
