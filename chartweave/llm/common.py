@@ -34,6 +34,14 @@ def saved(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def released(frame: DataFrame) -> None:
+    """Delete the folder of a frame that ``saved`` returned and that nothing reads any more."""
+    spark = frame.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in order, in batches of at most ``size`` bytes of text; a longer text is a batch of its own."""
     for batch in batches:

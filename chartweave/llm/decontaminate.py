@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, id_type, slices
+from .common import id_and_text, id_type, released, saved, slices
 
 WINDOW = 13
 BLOCK_WORDS = 100_000
+#: bytes of item text that one task makes automata of, one after another
+BUILD_BYTES = 8 << 20
 CHUNK = 1 << 20
 # Every byte that is no word byte becomes a blank; A-Z become a-z.
 _FOLD = bytes(
@@ -169,19 +172,49 @@ def cut_words(text: str, runs: list[list[int]]) -> str:
     return b"".join([*parts, raw[at:]]).decode()
 
 
-def _item_blocks(items: DataFrame, block_words: int):
-    """Lists of (item, words) of bounded size, one after another; items come through the driver block by block."""
-    block, held = [], 0
-    for row in items.toLocalIterator():
-        words = words_of(row.text)
-        if block and held + len(words) > block_words:
-            yield block
-            block, held = [], 0
-        if words:
-            block.append((str(row.id), words))
-            held += len(words)
-    if block:
-        yield block
+def _build(window: int, block_words: int):
+    """The automata of a group of items as pickled rows, each over at most ``block_words`` words or one longer item."""
+
+    schema = pa.schema([("group", pa.int32()), ("piece", pa.int32()), ("automaton", pa.binary())])
+
+    def row(group, piece, block):
+        data = pickle.dumps(Automaton(block, window), protocol=pickle.HIGHEST_PROTOCOL)
+        return pa.RecordBatch.from_pylist([{"group": group, "piece": piece, "automaton": data}], schema)
+
+    def run(key, items):
+        made, block, held = [], [], 0
+        for name, text in sorted(zip(items.column("name").to_pylist(), items.column("text").to_pylist())):
+            words = words_of(text)
+            if block and held + len(words) > block_words:
+                made.append(row(key[0].as_py(), len(made), block))
+                block, held = [], 0
+            if words:
+                block.append((name, words))
+                held += len(words)
+        if block:
+            made.append(row(key[0].as_py(), len(made), block))
+        return pa.Table.from_batches(made, schema)
+
+    return run
+
+
+def item_automata(
+    items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """``group``, ``piece`` and ``automaton`` (pickled): automata over blocks of the items, made in tasks and written.
+
+    Different items are dealt by hash to groups of about BUILD_BYTES of text, whose task makes one automaton
+    after another. Texts without words are in none, repeated items in one.
+    """
+    named = items.select(
+        F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("None")).alias("name"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+    ).where(F.length("text") > 0)
+    held = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first().bytes
+    named = named.dropDuplicates(["name", "text"])
+    named = named.withColumn("group", F.pmod(F.xxhash64("name", "text"), F.lit(held // BUILD_BYTES + 1)).cast("int"))
+    made = named.groupBy("group").applyInArrow(_build(window, block_words), "group int, piece int, automaton binary")
+    return saved(made)
 
 
 def match_items(
@@ -202,24 +235,33 @@ def match_items(
 
     Words are runs of ASCII letters and digits and of all other non-ASCII characters, A-Z lower-cased. A window
     is ``window`` consecutive words of an item, or a whole shorter item. The automaton takes blocks of at most
-    ``block_words`` item words (a longer item is a block of its own); each block is one pass over the documents
-    in the same task, so a larger benchmark costs more passes and never more memory, and nothing is shuffled.
+    ``block_words`` item words (a longer item is a block of its own). Automata are made in tasks and written; the
+    driver then hands out one at a time. Each is one pass over the documents, whose result is written before the
+    next, with the automaton and the result before it given back: a larger benchmark costs more passes, and the
+    driver and the workers hold one automaton whatever its size. Nothing is shuffled but the items.
     Null and empty texts have no words and are clean, items without words match nothing, items with a null id
     are named ``None``, repeated items count once, repeated rows get a row each, an empty table on either side
     gives a full result, and other columns are not read.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     kind = id_type(docs, id_col)
-    pairs = items.select(F.col(f"`{item_id_col}`").alias("id"), F.col(f"`{item_text_col}`").cast("string").alias("text"))
     state = "id {0}, text string, n_words long, runs array<array<int>>, items array<string>".format(kind)
     frame = id_and_text(docs, id_col, text_col)
-    first = True
-    for block in _item_blocks(pairs, block_words):
-        shared = spark.sparkContext.broadcast(Automaton(block, window))
-        frame = frame.mapInArrow(_pass(shared, first), state)
-        first = False
-    if first:
-        shared = spark.sparkContext.broadcast(Automaton([], window))
+    automata = item_automata(items, item_id_col, item_text_col, window, block_words)
+    names = [(r.group, r.piece) for r in automata.select("group", "piece").orderBy("group", "piece").collect()]
+    written = None
+    for at, (group, piece) in enumerate(names):
+        one = automata.where((F.col("group") == group) & (F.col("piece") == piece)).select("automaton").first()
+        shared = context.broadcast(bytes(one.automaton))
+        frame = frame.mapInArrow(_pass(shared, at == 0), state)
+        if at + 1 < len(names):
+            frame = saved(frame)
+            shared.destroy()
+            if written is not None:
+                released(written)
+            written = frame
+    if not names:
+        shared = context.broadcast(pickle.dumps(Automaton([], window)))
         frame = frame.mapInArrow(_pass(shared, True), state)
     return frame.mapInArrow(
         _verdict(min_share),
@@ -227,11 +269,23 @@ def match_items(
     ).drop(*([] if with_text else ["clean_text"])).withColumnRenamed("id", id_col)
 
 
+#: the automaton that this Python worker holds, under the number of its broadcast
+_held: dict[int, Automaton] = {}
+
+
+def _received(shared, number: int) -> Automaton:
+    if number not in _held:
+        _held.clear()
+        _held[number] = pickle.loads(shared.value)
+    return _held[number]
+
+
 def _pass(shared, first: bool):
+    number = shared._jbroadcast.id()
     runs_type = pa.list_(pa.list_(pa.int32()))
 
     def run(batches):
-        automaton = shared.value
+        automaton = _received(shared, number)
         for batch in slices(batches, "text"):
             counts, spans, names = [], [], []
             old = None if first else (batch.column("runs").to_pylist(), batch.column("items").to_pylist())

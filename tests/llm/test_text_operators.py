@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from chartweave.llm import queries
+from chartweave.llm import decontaminate, queries
 from chartweave.llm.decontaminate import match_items
 from chartweave.llm.secrets import find_secrets
 from chartweave.llm.token_counts import count_tokens
@@ -133,6 +133,37 @@ def test_contamination_cut_text_and_empty_tables(spark, documents):
     assert match_items(docs.limit(0), items).count() == 0
 
 
+def test_one_automaton_at_a_time(spark, documents, monkeypatch):
+    """However many blocks there are, one is shared at a time, and its size and the results kept do not grow."""
+    context, live, most, sizes, kept = spark.sparkContext, set(), [], [], []
+    share, save, release = type(context).broadcast, decontaminate.saved, decontaminate.released
+
+    def counted(self, value):
+        shared = share(self, value)
+        live.add(id(shared))
+        destroy = shared.destroy
+        shared.destroy = lambda blocking=False: (live.discard(id(shared)), destroy(blocking))
+        most.append(len(live))
+        sizes.append(len(value))
+        return shared
+
+    monkeypatch.setattr(type(context), "broadcast", counted)
+    monkeypatch.setattr(decontaminate, "saved", lambda frame: kept.append(1) or save(frame))
+    monkeypatch.setattr(decontaminate, "released", lambda frame: kept.pop() and release(frame))
+    docs = [(n, " ".join(f"w{(n * 7 + k) % 400}" for k in range(60))) for n in range(30)]
+    largest = {}
+    for n_items in (4, 24):
+        items = [(n, " ".join(f"w{n * 16 + k}" for k in range(15))) for n in range(n_items)]
+        table = spark.createDataFrame(items + items[:2] + [(None, None), (99, "...")], "item_id BIGINT, text STRING")
+        live.clear(), most.clear(), sizes.clear(), kept.clear()
+        got = match_items(documents(docs), table, block_words=30)
+        got = got.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256), "contaminated")
+        assert collected(got) == sorted(brute.contamination(docs, items), key=repr)
+        assert len(sizes) == n_items / 2 and max(most) == 1 and len(kept) <= 2  # the automata and the last result
+        largest[n_items] = max(sizes)
+    assert largest[24] < 1.2 * largest[4]
+
+
 def test_contamination_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").select("item_id", "text").collect()]
