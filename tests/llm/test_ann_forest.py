@@ -76,6 +76,25 @@ def test_odd_rows(spark):
     assert nearest(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_blocks_of_queries_give_the_same_rows(spark, monkeypatch):
+    table = spark.createDataFrame([(*r, "x", 1) for r in _rows(900)], DDL).repartition(3)
+    whole = sorted(map(tuple, nearest(table, F.col("vec_id") % 5 == 0, 10).collect()))
+    monkeypatch.setattr(ann_forest, "QUERY_ROWS", 7)
+    assert sorted(map(tuple, nearest(table, F.col("vec_id") % 5 == 0, 10).collect())) == whole
+
+
+@pytest.mark.parametrize("spread, most", [(0.1, 0.6), (3.0, 1.0)])
+def test_no_row_is_scored_by_two_trees(spark, spread, most):
+    n = 6000
+    rows = _rows(n, spread=spread)
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], DDL).repartition(3)
+    got = nearest(table, F.col("vec_id") % 50 == 0, 10).collect()
+    assert _recall(got, _brute(rows, 10, lambda i: i % 50 == 0)) >= 0.9
+    first = ann_forest.TREES * 2 * ann_forest.LEAF  # of the first visit, at most
+    scored = {r.query_id: r.n_scored for r in got}
+    assert max(scored.values()) <= n + first and sum(scored.values()) / len(scored) < most * n
+
+
 def test_query_recall(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").select("vec_id", "embedding").collect()]
     want = _brute(random.sample(rows, len(rows)), 20, lambda i: i % 20 == 0)
