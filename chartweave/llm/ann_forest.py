@@ -15,6 +15,8 @@ SHARD_ROWS = 8192
 LEAF = 32
 RECALL = 0.95
 QUERY_ROWS = 4096
+#: shards up to which their table, of five numbers each, is broadcast
+FEW_SHARDS = 100_000
 SLICE = 2048
 
 
@@ -208,10 +210,8 @@ def nearest(
     )
     parts = saved(parts)
     place = ["dim", "tree", "shard", "part", "bits", "block"]
-    dealt = index.join(parts, ["dim", "tree", "shard"]).withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    )
-    dealt = dealt.withColumn("bits", F.lit(bits)).drop("parts")
+    # rows that repeat are small on disk and large in memory, so the side to build from is always named
+    small = "broadcast" if parts.count() <= FEW_SHARDS else "shuffle_hash"
     queries = rows.join(asks, "id").dropDuplicates(["id", "vec"]).mapInArrow(_strings(longest, True), coded)
     queries = saved(queries.withColumnRenamed("id", "query_id"))
 
@@ -225,9 +225,12 @@ def nearest(
             F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("blocks")
         )
         # a shard's rows meet its queries block by block
-        facing = dealt.join(visitors, ["dim", "tree", "shard"])
+        shards = parts.join(visitors, ["dim", "tree", "shard"]).hint(small)
+        facing = index.join(shards, ["dim", "tree", "shard"])
+        facing = facing.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
         facing = facing.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-        asking = asking.join(parts, ["dim", "tree", "shard"]).join(visitors, ["dim", "tree", "shard"])
+        facing = facing.withColumn("bits", F.lit(bits))
+        asking = asking.join(shards, ["dim", "tree", "shard"])
         asking = asking.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         asking = asking.withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int"))
         asking = asking.withColumn("bits", F.lit(bits))
@@ -261,8 +264,8 @@ def nearest(
     chance = f"aggregate(sides, 0D, (sum, s) -> sum + 1 - pow(1 - pow(s, l), {TREES})) >= {recall} * {k}"
     level = F.expr(f"array_max(filter(sequence(0, {BITS}), l -> {chance}))")
     levels = saved(sides.select("query_id", F.coalesce(level, F.lit(0)).cast("int").alias("level"), "first"))
-    second = queries.join(levels.drop("first"), "query_id", "left").withColumn("level", F.coalesce("level", F.lit(0)))
-    both = visit(second).join(levels.drop("level"), "query_id", "left")
+    second = queries.join(levels.drop("first").hint("shuffle_hash"), "query_id", "left").withColumn("level", F.coalesce("level", F.lit(0)))
+    both = visit(second).join(levels.drop("level").hint("shuffle_hash"), "query_id", "left")
     return _answer(both.withColumn("n_scored", F.col("n_scored") + F.coalesce("first", F.lit(0))), id_col)
 
 
