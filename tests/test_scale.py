@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
 from chartweave.sinks.layers import WRITERS, write_bronze
 from chartweave.sources.layers import Lake, read_bronze
 from conftest import rows
+from workload import scan_queries
+from workload.records import Tables, bundles
 
 
 def test_bronze_is_written_without_a_sort(spark, records, tmp_path):
@@ -21,3 +27,17 @@ def test_bronze_is_written_without_a_sort(spark, records, tmp_path):
     finally:
         spark.sql("DROP TABLE parts")
     assert "WriteFiles" in plan and "Sort" not in plan
+
+
+def test_bundles_of_a_stream_are_written_compressed(spark, tmp_path, monkeypatch):
+    orders = spark.range(2000).selectExpr(
+        "id AS o_orderkey", "id % 100 AS o_custkey", "'O' AS o_orderstatus", "1.5D AS o_totalprice",
+        "TIMESTAMP'2020-01-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    )
+    orders.write.parquet(f"{tmp_path}/tables/orders.parquet")
+    t = Tables(spark, f"{tmp_path}/tables")
+    monkeypatch.setattr(scan_queries, "scratch", lambda t: f"{tmp_path}/work")
+    stored = scan_queries.stream_upsert(t)
+    assert stored.where("encounter_status = 'O'").count() == stored.count() == 2000
+    text = bundles(t).agg(F.sum(F.length("value"))).first()[0]
+    assert sum(f.stat().st_size for f in Path(tmp_path, "work/in").glob("part-*")) < text / 2

@@ -52,6 +52,12 @@ def scratch(t: Tables) -> str:
     return scratch_folder(t.spark)
 
 
+def write_bundles(texts: DataFrame, folder: str) -> None:
+    """Bundles a line each, which repeat their field names over and over, in compressed files of bounded size: such a
+    file is read by one task."""
+    texts.write.mode("append").option("maxRecordsPerFile", BUNDLES_PER_FILE).option("compression", "gzip").text(folder)
+
+
 ENTRY_SQL = """
     SELECT 'Encounter' AS resource_type, 'enc-' || o_orderkey AS id, o_orderstatus AS status,
       'urn:uuid:pat-' || o_custkey AS reference,
@@ -80,7 +86,7 @@ def entry_ids(entries: DataFrame) -> DataFrame:
 @query("scan_bundle_json", ENTRY_SQL)
 def scan_bundle_json(t: Tables) -> DataFrame:
     folder = scratch(t)
-    bundles(t).write.text(folder)
+    write_bundles(bundles(t), folder)
     return entry_ids(bundle_entries(read_bundles(t.spark, folder, multi_line=False)))
 
 
@@ -107,7 +113,7 @@ def sink_rejects(t: Tables) -> DataFrame:
     folder = scratch(t)
     number = F.regexp_extract("value", "enc-([0-9]+)", 1).cast("bigint")
     cut = F.expr("substring(value, 1, length(value) - 20)")
-    bundles(t).select(F.when(number % 10 == 3, cut).otherwise(F.col("value"))).write.text(f"{folder}/in")
+    write_bundles(bundles(t).select(F.when(number % 10 == 3, cut).otherwise(F.col("value")).alias("value")), f"{folder}/in")
     lake, ledger = Lake(f"{folder}/lake"), Ledger(t.spark, f"{folder}/lake")
     store_bundles(read_bundles(t.spark, f"{folder}/in", multi_line=False), lake, SOURCE, 0, ledger)
     entries = read_bronze(t.spark, lake, SOURCE, 0).where(F.col("data.id").isNotNull())
@@ -131,7 +137,8 @@ def scan_bundle_rejects(t: Tables) -> DataFrame:
     number = F.regexp_extract("value", "enc-([0-9]+)", 1).cast("bigint") % 10
     cut = F.expr("substring(value, 1, length(value) - 20)")
     other = F.regexp_replace("value", '^\\{"entry":', '{"entry":"none","was":')
-    bundles(t).select(F.when(number == 3, cut).when(number == 7, other).otherwise(F.col("value"))).write.text(folder)
+    texts = F.when(number == 3, cut).when(number == 7, other).otherwise(F.col("value"))
+    write_bundles(bundles(t).select(texts.alias("value")), folder)
     read = read_bundles(t.spark, folder, multi_line=False)
     good = whole_bundles(read).select(F.lit("whole").alias("kind"), F.size("entry").alias("n"))
     bad = rejected_bundles(read).where(F.length("text") > 0).select(F.lit("rejected").alias("kind"), F.col("n_entries").alias("n"))
@@ -562,7 +569,7 @@ def epoch_batch_label(t: Tables) -> DataFrame:
 @query("stream_ingest", ENTRY_SQL)
 def stream_ingest(t: Tables) -> DataFrame:
     folder = scratch(t)
-    bundles(t).write.option("maxRecordsPerFile", BUNDLES_PER_FILE).text(f"{folder}/in")
+    write_bundles(bundles(t), f"{folder}/in")
     lake = Lake(f"{folder}/lake")
     stream = bundle_file_stream(t.spark, f"{folder}/in", multi_line=False, files_per_batch=FILES_PER_EPOCH)
     ingest_stream(t.spark, stream, lake, f"{folder}/progress")
@@ -582,7 +589,7 @@ def stream_upsert(t: Tables) -> DataFrame:
     lake = Lake(f"{folder}/lake")
     old = bundles(t).select(F.regexp_replace("value", '"status":"[^"]*"', '"status":"older"').alias("value"))
     for texts in (old, bundles(t)):
-        texts.write.mode("append").option("maxRecordsPerFile", BUNDLES_PER_FILE).text(f"{folder}/in")
+        write_bundles(texts, f"{folder}/in")
         stream = bundle_file_stream(t.spark, f"{folder}/in", multi_line=False, files_per_batch=FILES_PER_EPOCH)
         upsert_stream(t.spark, stream, ["fact_encounter"], lake, f"{folder}/progress")
     rows = read_star(t.spark, lake, "fact_encounter")
