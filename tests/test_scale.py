@@ -6,6 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from chartweave.operators.joins import KEYS_PER_ROW, fk_report
 from chartweave.sinks.layers import WRITERS, write_bronze
 from chartweave.sources.layers import Lake, read_bronze
 from conftest import rows
@@ -41,3 +42,16 @@ def test_bundles_of_a_stream_are_written_compressed(spark, tmp_path, monkeypatch
     assert stored.where("encounter_status = 'O'").count() == stored.count() == 2000
     text = bundles(t).agg(F.sum(F.length("value"))).first()[0]
     assert sum(f.stat().st_size for f in Path(tmp_path, "work/in").glob("part-*")) < text / 2
+
+
+def test_key_report_counts_few_keys_beside_each_other(spark):
+    dimension = spark.createDataFrame([("x",), ("y",), (None,)], "id STRING")
+    facts = {f"f{n}": spark.createDataFrame([("x",), ("gone",), ("gone",), (f"lost{n}",), (None,)], "k STRING") for n in range(6)}
+    facts["f5"] = dimension.withColumnRenamed("id", "k")
+    keys = [(name, "k", "d", "id") for name in facts] + [("d", "id", "f0", "k")]
+    report = fk_report({**facts, "d": dimension}, keys)
+    want = [(name, "k", "d", 2, 3) for name in list(facts)[:5]] + [("f5", "k", "d", 0, 0), ("d", "id", "f0", 1, 1)]
+    assert rows(report) == sorted(want)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning"):]
+    assert 0 < below[: below.index("Union")].count("partial_count(") <= KEYS_PER_ROW + 1
