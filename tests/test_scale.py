@@ -55,3 +55,12 @@ def test_key_report_counts_few_keys_beside_each_other(spark):
     plan = report._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("Exchange hashpartitioning"):]
     assert 0 < below[: below.index("Union")].count("partial_count(") <= KEYS_PER_ROW + 1
+
+
+def test_columns_are_counted_on_their_own(spark):
+    a = spark.createDataFrame([("k1", 1, None), ("k2", 1, None), ("k3", None, None)], "k STRING, v INT, w DOUBLE")
+    empty = spark.createDataFrame([], "x STRING")
+    counts = scan_queries.column_counts({"a": a, "empty": empty}, {"a": "k", "empty": None})
+    want = [("a", "k", 3, 3, 3), ("a", "v", 3, 2, 1), ("a", "w", 3, 0, 0), ("empty", "x", 0, 0, 0)]
+    assert rows(counts, "table_name", "column_name", "n_rows", "n_values", "n_distinct") == want
+    assert "Expand" not in counts._jdf.queryExecution().executedPlan().toString()
