@@ -6,6 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from chartweave.functions.scalars import parse_timestamp
 from chartweave.operators.joins import KEYS_PER_ROW, fk_report
 from chartweave.sinks.layers import WRITERS, write_bronze
 from chartweave.sources.layers import Lake, read_bronze
@@ -64,3 +65,11 @@ def test_columns_are_counted_on_their_own(spark):
     want = [("a", "k", 3, 3, 3), ("a", "v", 3, 2, 1), ("a", "w", 3, 0, 0), ("empty", "x", 0, 0, 0)]
     assert rows(counts, "table_name", "column_name", "n_rows", "n_values", "n_distinct") == want
     assert "Expand" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_patterns_are_only_tried_on_fractions(spark):
+    texts = ["2020-01-02T03:04:05-04:00", "2020-01-02T03:04:05.1234567Z", "2020-01-02T03:04:05.x", "none", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t STRING").select(parse_timestamp("t").cast("string").alias("at"))
+    assert [r.at for r in got.collect()] == ["2020-01-02 07:04:05", "2020-01-02 03:04:05.123456", None, None, None]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "contains(" in plan and plan.index("contains(") < plan.index("regexp_")
