@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import time
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from chartweave.functions.scalars import parse_timestamp
 from chartweave.operators.joins import KEYS_PER_ROW, fk_report
+from chartweave.plans.details import build
+from chartweave.session import SHUFFLE_CLEANUP, shuffles_released
 from chartweave.sinks.layers import WRITERS, write_bronze
 from chartweave.sources.layers import Lake, read_bronze
 from conftest import rows
 from workload import scan_queries
-from workload.records import Tables, bundles
+from workload.records import RECORDS, Tables, bundles
 
 
 def test_bronze_is_written_without_a_sort(spark, records, tmp_path):
@@ -73,3 +76,35 @@ def test_patterns_are_only_tried_on_fractions(spark):
     assert [r.at for r in got.collect()] == ["2020-01-02 07:04:05", "2020-01-02 03:04:05.123456", None, None, None]
     plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
     assert "contains(" in plan and plan.index("contains(") < plan.index("regexp_")
+
+
+def test_records_build_only_the_fields_a_plan_uses(spark, tmp_path):
+    lines = spark.range(30).selectExpr(
+        "id AS l_orderkey", "id % 7 AS l_partkey", "IF(id = 5, NULL, id) AS l_suppkey", "CAST(id % 8 AS INT) AS l_linenumber",
+        "1.5D AS l_quantity", "0.5D AS l_tax", "'R' AS l_returnflag", "'O' AS l_linestatus", "TIMESTAMP'2020-01-01' AS l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    t = Tables(spark, str(tmp_path))
+    requests = build("medication_request", RECORDS["MedicationRequest"](t))
+    plan = requests._jdf.queryExecution().optimizedPlan().toString()
+    assert "resourceType" not in plan and "med-" not in plan and "tablet" not in plan
+    assert rows(requests.where("patient_id IS NULL"), "medication_request_id", "batch_id") == [("enc-5_M5", 2)]
+    whole = RECORDS["MedicationRequest"](t).where("data.id = 'med-7-7'")
+    assert rows(whole, "data.dispenseRequest.quantity.unit", F.size("data.dosageInstruction")) == [("tablet", 2)]
+
+
+def test_shuffles_of_written_tables_are_released(spark, tmp_path):
+    def shuffled() -> set[str]:
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = manager.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(SHUFFLE_CLEANUP, "false")
+    with shuffles_released(spark):
+        spark.range(1000).selectExpr("id % 10 AS k").distinct().write.parquet(f"{tmp_path}/kept")
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, "false") == setting
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 10

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from chartweave.schemas import RESOURCE_FIELDS
 
 BATCHES = 3
+#: more than any table has
+ALL_PARTITIONS = 1_000_000
 
 
 class Tables:
@@ -34,11 +36,19 @@ def record_struct(fields: dict[str, str]) -> Column:
 
 
 def record(rows: DataFrame, kind: str, batch: str, **fields: str) -> DataFrame:
-    """``(batch_id, resource_type, data)`` rows of one resource type."""
-    return rows.select(
+    """``(batch_id, resource_type, data)`` rows of one resource type.
+
+    The fields are columns before they are put together: of a struct with two computed fields in use, Spark builds
+    all fields for every row. The coalesce, to more partitions than there are, moves no row. It only keeps the two
+    projections apart, so a plan computes the fields it uses, each once, as a scan of stored records reads them.
+    """
+    named = {name: f"`{name}`" for name in fields}
+    columns = rows.select(
         F.expr(f"CAST({batch} % {BATCHES} AS INT)").alias("batch_id"),
-        F.lit(kind).alias("resource_type"),
-        record_struct(fields).alias("data"),
+        *[F.expr(value).alias(name) for name, value in fields.items()],
+    )
+    return columns.coalesce(ALL_PARTITIONS).select(
+        "batch_id", F.lit(kind).alias("resource_type"), record_struct(named).alias("data")
     )
 
 

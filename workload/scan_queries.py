@@ -16,7 +16,7 @@ from chartweave.plans.details import DETAILS, build
 from chartweave.plans.jobs import run_each, store_bundles
 from chartweave.plans.ledger import Ledger, last_batch, next_batch, of_source, oldest, pending_batches
 from chartweave.plans.star import STAR, create_star_tables, load_rows, model_table, star_table
-from chartweave.session import scratch_folder
+from chartweave.session import scratch_folder, shuffles_released
 from chartweave.sinks.jdbc import jdbc_rows
 from chartweave.sinks.layers import save_image_table, write_bronze, write_detail, write_star
 from chartweave.sinks.snapshot import merge_batches
@@ -330,7 +330,8 @@ def gold_ddl_cast(t: Tables) -> DataFrame:
             fields.append(F.struct(*(F.lit(v).alias(k) for k, v in texts.items()), *values))
         return stored.agg(*counts).select(F.inline(F.array(*fields)))
 
-    run_each(STAR, fill)
+    with shuffles_released(t.spark):
+        run_each(STAR, fill)
     for group in dict.fromkeys(s.group for s in STAR.values()):
         t.spark.sql(f"DROP DATABASE {prefix}{group} CASCADE")  # the definitions; the files stay in their folder
     return reduce(DataFrame.unionByName, [summary(name, table) for name, table in STAR.items()])
