@@ -108,3 +108,19 @@ def test_shuffles_of_written_tables_are_released(spark, tmp_path):
     assert not shuffled() - before
     assert spark.conf.get(SHUFFLE_CLEANUP, "false") == setting
     assert spark.read.parquet(f"{tmp_path}/kept").count() == 10
+
+
+def test_stored_columns_are_counted_one_table_after_the_other(spark, tmp_path, monkeypatch):
+    orders = spark.range(40).selectExpr(
+        "id % 30 AS o_orderkey", "id % 3 AS o_custkey", "'O' AS o_orderstatus", "TIMESTAMP'2020-01-01' AS o_orderdate",
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    names = ("dim_procedure_type", "fact_procedure")
+    monkeypatch.setattr(scan_queries, "STAR", {name: scan_queries.STAR[name] for name in names})
+    monkeypatch.setattr(scan_queries, "scratch", lambda t: f"{tmp_path}/work")
+    counts = scan_queries.sink_modeled_all(Tables(spark, str(tmp_path)))
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()  # what is left is read
+    got = {(table, column): tuple(n) for table, column, *n in rows(counts)}
+    assert got["dim_procedure_type", "procedure_type_key"] == got["dim_procedure_type", "procedure_type_name"] == (20, 20, 20)
+    assert got["fact_procedure", "encounter_key"] == (30, 30, 30) and got["fact_procedure", "patient_key"] == (30, 30, 3)
+    assert got["fact_procedure", "reason_reference"] == (30, 10, 10) and len(got) == 9
