@@ -124,3 +124,23 @@ def test_stored_columns_are_counted_one_table_after_the_other(spark, tmp_path, m
     assert got["dim_procedure_type", "procedure_type_key"] == got["dim_procedure_type", "procedure_type_name"] == (20, 20, 20)
     assert got["fact_procedure", "encounter_key"] == (30, 30, 30) and got["fact_procedure", "patient_key"] == (30, 30, 3)
     assert got["fact_procedure", "reason_reference"] == (30, 10, 10) and len(got) == 9
+
+
+def test_key_report_stores_the_counts_of_one_table_after_the_other(spark, tmp_path):
+    a = spark.createDataFrame([("x", "p"), ("y", None), ("y", "q"), (None, "z"), ("x", "q")], "id STRING, other STRING")
+    b = spark.createDataFrame([("p", "x"), ("r", "gone"), ("s", "gone"), ("s", "gone")], "key STRING, id STRING")
+    empty = spark.createDataFrame([], "key STRING")
+    keys = [("a", "other", "b", "key"), ("b", "id", "a", "id"), ("b", "key", "empty", "key"), ("empty", "key", "b", "key")]
+    stored = {}
+
+    def store(name, counted):
+        counted.write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.schema(counted.schema).parquet(f"{tmp_path}/{name}")
+        return stored[name]
+
+    tables = {"a": a, "b": b, "empty": empty}
+    report = fk_report(tables, keys, store)
+    want = [("a", "other", "b", 2, 3), ("b", "id", "a", 1, 3), ("b", "key", "empty", 3, 4), ("empty", "key", "b", 0, 0)]
+    assert rows(report) == rows(fk_report(tables, keys)) == sorted(want)
+    assert report.schema.simpleString() == fk_report(tables, keys).schema.simpleString()
+    assert list(stored) == list(tables) and stored["b"].where("value = 'gone'").count() == 1
